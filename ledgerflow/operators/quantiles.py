@@ -55,30 +55,57 @@ def bucket_bounds(df: DataFrame, cols: Sequence[str], buckets: int) -> dict[str,
     return {c: sorted(set(x for x in (row[c] or []) if x is not None)) for c in cols}
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    buckets: int | None = None) -> DataFrame:
-    """Exact linear-interpolated quantiles -> ``(column, prob, value)``."""
-    cols = list(cols)
-    buckets = buckets or max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    bounds = bucket_bounds(df, cols, buckets)
-    splits = [[float("-inf")] + (b or [0.0]) + [float("inf")] for b in (bounds[c] for c in cols)]
-    dbl = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    bz = Bucketizer(splitsArray=splits, inputCols=cols, outputCols=[f"{c}__b" for c in cols],
-                    handleInvalid="keep")
-    long = unpivot(bz.transform(dbl), cols, extra=["b"])
-    distinct = long.groupBy("column", "b", "v").agg(F.count(F.lit(1)).alias("cnt"))
-    w_run = Window.partitionBy("column", "b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+def _default_buckets(df: DataFrame) -> int:
+    return max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def rank_spans(long: DataFrame, group: Sequence[str], value: str = "v", bucket: str = "b",
+               descending: bool = False) -> DataFrame:
+    """For every distinct ``(group, value)`` its row count and the span of
+    0-based ranks it occupies in ``value`` order within ``group``:
+    ``(group..., value, cnt, first, last, total)``.
+
+    ``bucket`` must be monotone in ``value`` within a group (a Bucketizer
+    index); windows run per ``(group, bucket)`` so no task holds a whole group.
+    """
+    group = list(group)
+    b = F.col(bucket)
+    distinct = long.groupBy(*group, bucket, value).agg(F.count(F.lit(1)).alias("cnt"))
+    vorder = F.col(value).desc() if descending else F.col(value).asc()
+    border = b.desc() if descending else b.asc()
+    w_run = Window.partitionBy(*group, bucket).orderBy(vorder).rowsBetween(Window.unboundedPreceding, 0)
     ranked = distinct.withColumn("cum", F.sum("cnt").over(w_run))
-    totals = distinct.groupBy("column", "b").agg(F.sum("cnt").alias("n"))
-    w_off = Window.partitionBy("column").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("column", "b",
+    totals = distinct.groupBy(*group, bucket).agg(F.sum("cnt").alias("n"))
+    w_off = Window.partitionBy(*group).orderBy(border).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*group, bucket,
                             F.coalesce(F.sum("n").over(w_off), F.lit(0)).alias("start"),
-                            F.sum("n").over(Window.partitionBy("column")).alias("total"))
-    # ``offsets`` has at most |cols| x buckets rows: a bounded broadcast.
-    spans = ranked.join(F.broadcast(offsets), ["column", "b"]).select(
-        "column", "v", "total",
+                            F.sum("n").over(Window.partitionBy(*group)).alias("total"))
+    # ``offsets`` has (groups x buckets) rows; callers keep that bounded.
+    return ranked.join(F.broadcast(offsets), [*group, bucket]).select(
+        *group, value, "cnt", "total",
         (F.col("start") + F.col("cum") - F.col("cnt")).alias("first"),
         (F.col("start") + F.col("cum") - 1).alias("last"))
+
+
+def bucketize(df: DataFrame, cols: Sequence[str], buckets: int) -> DataFrame:
+    """Cast ``cols`` to double and add ``{c}__b`` bucket indexes (monotone in
+    the value) from sketch bounds; JVM binary search per row."""
+    cols = list(cols)
+    bounds = bucket_bounds(df, cols, buckets)
+    splits = [[float("-inf")] + (bounds[c] or [0.0]) + [float("inf")] for c in cols]
+    dbl = df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c) for c in df.columns])
+    bz = Bucketizer(splitsArray=splits, inputCols=cols, outputCols=[f"{c}__b" for c in cols],
+                    handleInvalid="keep")
+    return bz.transform(dbl)
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                    buckets: int | None = None) -> DataFrame:
+    """Exact linear-interpolated quantiles -> ``(column, prob, value)``."""
+    cols = list(cols)
+    buckets = buckets or _default_buckets(df)
+    long = unpivot(bucketize(df.select(*cols), cols, buckets), cols, extra=["b"])
+    spans = rank_spans(long, ["column"])
     pos = F.col("prob") * (F.col("total") - 1)
     cand = spans.withColumn("prob", F.explode(F.array(*[F.lit(float(q)) for q in probs]))).select(
         "column", "prob", "v", pos.alias("pos"), "first", "last")
