@@ -1,0 +1,259 @@
+"""Seasonal ARIMA order search, forecast and in-sample fit for many series
+(K4-K7).
+
+The reference runs a stepwise search for one series on one machine.  Here
+every (series, candidate order) pair is one group of an ``applyInPandas``:
+the series rows are exploded over the candidate list (no join), grouped by
+(series, order) and fitted in parallel; ``min_by`` over AIC picks each
+series' model.  A group holds one series (its length in days), never the
+transactions behind it.
+
+Fitting is conditional sum of squares (CSS): residuals of the ARMA filter
+``e = (phi(B) Phi(B^m) / theta(B) Theta(B^m)) w`` on the differenced series,
+evaluated as an FFT product, minimised by Nelder-Mead over parameters mapped
+to the stationary/invertible region (partial-autocorrelation transform).
+Likelihood, AIC, BIC and HQIC follow from the CSS variance; they are close to,
+not equal to, an exact Kalman-filter likelihood.
+"""
+
+from __future__ import annotations
+
+import itertools
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+
+def candidate_orders(max_p: int = 2, max_q: int = 2, max_P: int = 1, max_Q: int = 1,
+                     d_values=(0, 1)) -> list[tuple[int, int, int, int, int, int]]:
+    """(p, d, q, P, D, Q) grid; the seasonal difference D stays 0."""
+    return [(p, d, q, P, 0, Q) for p, d, q, P, Q in
+            itertools.product(range(max_p + 1), d_values, range(max_q + 1), range(max_P + 1), range(max_Q + 1))]
+
+
+def _pacf_to_coef(x: np.ndarray) -> np.ndarray:
+    """Unconstrained reals -> coefficients of a stationary AR polynomial."""
+    r = np.tanh(x)
+    phi = np.zeros(0)
+    for k, rk in enumerate(r):
+        phi = np.concatenate([phi - rk * phi[::-1], [rk]]) if k else np.array([rk])
+    return phi
+
+
+def _poly(coef: np.ndarray, lag: int, sign: float) -> np.ndarray:
+    """``1 + sign * sum(c_i B^(i*lag))`` as a coefficient array."""
+    out = np.zeros(len(coef) * lag + 1)
+    out[0] = 1.0
+    for i, c in enumerate(coef, start=1):
+        out[i * lag] = sign * c
+    return out
+
+
+def _unpack(x, order, m, trend):
+    p, d, q, P, D, Q = order
+    i = 0
+    mu = 0.0
+    if trend:
+        mu, i = x[0], 1
+    ar = _pacf_to_coef(x[i:i + p]); i += p
+    ma = -_pacf_to_coef(x[i:i + q]); i += q
+    sar = _pacf_to_coef(x[i:i + P]); i += P
+    sma = -_pacf_to_coef(x[i:i + Q]); i += Q
+    ar_poly = np.convolve(_poly(ar, 1, -1.0), _poly(sar, m, -1.0))
+    ma_poly = np.convolve(_poly(ma, 1, 1.0), _poly(sma, m, 1.0))
+    return mu, ar, ma, sar, sma, ar_poly, ma_poly
+
+
+def _filter(num: np.ndarray, den: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Causal IIR filter ``(num / den)(B) x`` with zero initial state, as an
+    FFT product (den is invertible, so its impulse response decays)."""
+    n = len(x)
+    size = 1 << int(np.ceil(np.log2(4 * n + len(num) + len(den))))
+    h = np.fft.rfft(num, size) / np.fft.rfft(den, size)
+    return np.fft.irfft(np.fft.rfft(x, size) * h, size)[:n]
+
+
+class _CssObjective:
+    """Sum of squared CSS residuals as a function of the free parameters.
+
+    The transforms of the series and of a constant are computed once; each
+    evaluation only forms the two short lag polynomials on the frequency grid
+    and runs one inverse FFT."""
+
+    def __init__(self, w, order, m, trend, burn):
+        self.order, self.m, self.trend, self.burn, self.n = order, m, trend, burn, len(w)
+        p, d, q, P, D, Q = order
+        lags = max(p + P * m, q + Q * m) + 1
+        self.size = 1 << int(np.ceil(np.log2(2 * self.n + lags)))
+        self.wf = np.fft.rfft(w, self.size)
+        self.of = np.fft.rfft(np.ones(self.n), self.size)
+        freqs = np.arange(self.size // 2 + 1)
+        self.z = np.exp(-2j * np.pi * np.outer(freqs, np.arange(lags)) / self.size)
+
+    def residuals(self, x):
+        mu, *_, ar_poly, ma_poly = _unpack(x, self.order, self.m, self.trend)
+        k = self.z.shape[1]
+        num = self.z @ np.pad(ar_poly, (0, k - len(ar_poly)))
+        den = self.z @ np.pad(ma_poly, (0, k - len(ma_poly)))
+        src = self.wf - mu * self.of if self.trend else self.wf
+        return np.fft.irfft(src * num / den, self.size)[: self.n]
+
+    def __call__(self, x):
+        e = self.residuals(x)[self.burn:]
+        return float(np.dot(e, e))
+
+
+def _nelder_mead(f, x0, max_iter=400, tol=1e-8):
+    """Plain Nelder-Mead (numpy only), enough for a handful of parameters."""
+    n = len(x0)
+    if n == 0:
+        return x0, f(x0)
+    pts = [x0] + [x0 + np.eye(n)[i] * 0.5 for i in range(n)]
+    vals = [f(p) for p in pts]
+    for _ in range(max_iter):
+        order = np.argsort(vals)
+        pts = [pts[i] for i in order]
+        vals = [vals[i] for i in order]
+        if abs(vals[-1] - vals[0]) <= tol * (abs(vals[0]) + tol):
+            break
+        c = np.mean(pts[:-1], axis=0)
+        xr = c + (c - pts[-1]); fr = f(xr)
+        if fr < vals[0]:
+            xe = c + 2 * (c - pts[-1]); fe = f(xe)
+            pts[-1], vals[-1] = (xe, fe) if fe < fr else (xr, fr)
+        elif fr < vals[-2]:
+            pts[-1], vals[-1] = xr, fr
+        else:
+            xc = c + 0.5 * (pts[-1] - c); fc = f(xc)
+            if fc < vals[-1]:
+                pts[-1], vals[-1] = xc, fc
+            else:
+                pts = [pts[0]] + [pts[0] + 0.5 * (p - pts[0]) for p in pts[1:]]
+                vals = [vals[0]] + [f(p) for p in pts[1:]]
+    i = int(np.argmin(vals))
+    return pts[i], vals[i]
+
+
+def fit_css(y: np.ndarray, order, m: int = 7) -> dict:
+    """CSS fit of one order on one series; returns fit statistics and the
+    coefficient vector (in the natural parameterisation)."""
+    p, d, q, P, D, Q = order
+    w = np.diff(y, n=d) if d else y.astype(float)
+    trend = d == 0
+    burn = p + P * m
+    k = p + q + P + Q + int(trend)
+    if len(w) - burn <= k + 1:
+        return {"ok": False}
+    x0 = np.zeros(k)
+    if trend:
+        x0[0] = float(np.mean(w))
+    scale = float(np.var(w)) or 1.0
+    obj = _CssObjective(w, order, m, trend, burn)
+    xbest, sse = _nelder_mead(lambda x: obj(x) / scale, x0, max_iter=100 * k + 100, tol=1e-7)
+    sse *= scale
+    n_eff = len(w) - burn
+    sigma2 = max(sse / n_eff, 1e-300)
+    llf = -0.5 * n_eff * (np.log(2 * np.pi * sigma2) + 1)
+    npar = k + 1
+    mu, ar, ma, sar, sma, ar_poly, ma_poly = _unpack(xbest, order, m, trend)
+    return {"ok": True, "x": xbest, "sigma2": sigma2, "llf": llf, "n": n_eff,
+            "aic": -2 * llf + 2 * npar, "bic": -2 * llf + np.log(n_eff) * npar,
+            "hqic": -2 * llf + 2 * np.log(np.log(n_eff)) * npar,
+            "mu": mu, "ar": ar, "ma": ma, "sar": sar, "sma": sma, "ar_poly": ar_poly, "ma_poly": ma_poly}
+
+
+def forecast(y: np.ndarray, fit: dict, order, steps: int, m: int = 7):
+    """Recursive h-step forecast with 95 % interval from psi-weights; also the
+    in-sample fitted values (null for the first ``d`` points)."""
+    p, d, q, P, D, Q = order
+    w = np.diff(y, n=d) if d else y.astype(float)
+    mu = fit["mu"] if d == 0 else 0.0
+    ar_poly, ma_poly = fit["ar_poly"], fit["ma_poly"]
+    e = _filter(ar_poly, ma_poly, w - mu)
+    full_ar = np.convolve(ar_poly, np.array([1.0, -1.0])) if d == 1 else ar_poly
+    # Forecast the level series: x_t = y_t - mu; recursion on full AR / MA.
+    x = list(y.astype(float) - mu)
+    eps = list(np.concatenate([np.zeros(d), e]))
+    for _ in range(steps):
+        val = -sum(full_ar[i] * x[-i] for i in range(1, len(full_ar)))
+        val += sum(ma_poly[j] * eps[-j] for j in range(1, len(ma_poly)) if j <= len(eps))
+        x.append(val)
+        eps.append(0.0)
+    fc = np.array(x[len(y):]) + mu
+    psi = np.zeros(steps)  # impulse response of ma_poly / full_ar (may hold a unit root)
+    for j in range(steps):
+        psi[j] = (ma_poly[j] if j < len(ma_poly) else 0.0) - sum(
+            full_ar[i] * psi[j - i] for i in range(1, min(j, len(full_ar) - 1) + 1))
+    se = np.sqrt(fit["sigma2"] * np.cumsum(psi ** 2))
+    fitted_w = w - e
+    if d == 1:
+        fitted = np.concatenate([[np.nan], y[:-1] + fitted_w])
+    else:
+        fitted = fitted_w
+    return fc, fc - 1.96 * se, fc + 1.96 * se, fitted
+
+
+ORDER_FIELDS = ["p", "d", "q", "sp", "sd", "sq"]  # seasonal P, D, Q (names are case-insensitive)
+SEARCH_SCHEMA = ("series string, p int, d int, q int, sp int, sd int, sq int, n int, sigma2 double, "
+                 "llf double, aic double, bic double, hqic double, params array<double>")
+
+
+def order_search(series: DataFrame, orders=None, m: int = 7) -> DataFrame:
+    """Fit every candidate order to every series in parallel (K4, K7).
+
+    ``series`` is ``(series, day, value)`` without gaps.  Returns one row per
+    (series, order) with the fit statistics and coefficients
+    ``[mu?, ar..., ma..., sar..., sma...]``."""
+    orders = orders or candidate_orders()
+    arr = F.array(*[F.struct(*[F.lit(o[i]).alias(ORDER_FIELDS[i]) for i in range(6)]) for o in orders])
+    x = series.select("series", "day", "value", F.explode(arr).alias("o")).select("series", "day", "value", "o.*")
+
+    def fit_group(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("day")
+        order = tuple(int(pdf[c].iloc[0]) for c in ORDER_FIELDS)
+        r = fit_css(pdf["value"].to_numpy(dtype=float), order, m)
+        row = {"series": pdf["series"].iloc[0], **dict(zip(ORDER_FIELDS, order))}
+        if not r["ok"]:
+            return pd.DataFrame([{**row, "n": 0, "sigma2": None, "llf": None, "aic": None, "bic": None,
+                                  "hqic": None, "params": None}])
+        params = ([r["mu"]] if order[1] == 0 else []) + list(r["ar"]) + list(r["ma"]) + list(r["sar"]) + list(r["sma"])
+        return pd.DataFrame([{**row, "n": r["n"], "sigma2": r["sigma2"], "llf": r["llf"], "aic": r["aic"],
+                              "bic": r["bic"], "hqic": r["hqic"], "params": [float(v) for v in params]}])
+
+    return x.groupBy("series", *ORDER_FIELDS).applyInPandas(fit_group, SEARCH_SCHEMA)
+
+
+def best_orders(search: DataFrame) -> DataFrame:
+    """Minimum-AIC order per series (ties broken by fewer parameters)."""
+    s = search.filter(F.col("aic").isNotNull())
+    w = Window.partitionBy("series").orderBy(F.col("aic").asc(), F.size("params").asc(),
+                                              *[F.col(c).asc() for c in ORDER_FIELDS])
+    return s.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
+
+
+FORECAST_SCHEMA = "series string, day date, kind string, value double, lower double, upper double"
+
+
+def forecast_series(series: DataFrame, best: DataFrame, steps: int = 30, m: int = 7) -> DataFrame:
+    """Forecast ``steps`` days with 95 % bounds, plus in-sample fitted values
+    (K5, K6): ``kind`` is 'forecast' or 'fitted'.  The chosen order is
+    joined on the series key (one row per series)."""
+    x = series.join(best.select("series", *ORDER_FIELDS), "series")
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("day")
+        order = tuple(int(pdf[c].iloc[0]) for c in ORDER_FIELDS)
+        y = pdf["value"].to_numpy(dtype=float)
+        fit = fit_css(y, order, m)
+        fc, lo, hi, fitted = forecast(y, fit, order, steps, m)
+        last = pd.Timestamp(pdf["day"].iloc[-1])
+        days = [(last + pd.Timedelta(days=i + 1)).date() for i in range(steps)]
+        name = pdf["series"].iloc[0]
+        f = pd.DataFrame({"series": name, "day": days, "kind": "forecast", "value": fc, "lower": lo, "upper": hi})
+        g = pd.DataFrame({"series": name, "day": list(pdf["day"]), "kind": "fitted",
+                          "value": np.where(np.isnan(fitted), None, fitted), "lower": None, "upper": None})
+        return pd.concat([f, g], ignore_index=True)
+
+    return x.groupBy("series").applyInPandas(run, FORECAST_SCHEMA)
