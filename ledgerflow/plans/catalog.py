@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from ledgerflow.plans import agg_queries, quality_queries, series_queries, window_queries  # noqa: F401
+from ledgerflow.plans import agg_queries, model_queries, quality_queries, series_queries, window_queries  # noqa: F401
 from ledgerflow.plans.registry import CHECK, ORACLE, QUERIES  # noqa: F401
 from ledgerflow.session import prepare  # noqa: F401
