@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ledgerflow.functions.columns import any_abs_exceeds
 from ledgerflow.operators.features import column_moments
 from ledgerflow.operators.quantiles import exact_quantiles
+from ledgerflow.session import cpu_partitions, cut_lineage
 
 
 # --- M2: z-score -------------------------------------------------------------
@@ -51,6 +52,12 @@ def _c(n: float) -> float:
     return 2.0 * (math.log(n - 1) + 0.5772156649) - 2.0 * (n - 1) / n
 
 
+def _c_vec(sizes: np.ndarray) -> np.ndarray:
+    s = np.asarray(sizes, dtype=float)
+    out = np.where(s > 2, 2.0 * (np.log(np.maximum(s - 1, 1)) + 0.5772156649) - 2.0 * (s - 1) / np.maximum(s, 1), 0.0)
+    return np.where(s == 2, 1.0, out)
+
+
 def _build_tree(x: np.ndarray, rng: np.random.Generator, limit: int):
     """One isolation tree as flat arrays (feature, threshold, left, right, size)."""
     feat, thr, left, right, size = [], [], [], [], []
@@ -89,7 +96,7 @@ def _path_lengths(x: np.ndarray, tree) -> np.ndarray:
         node[i] = np.where(go_left, left[node[i]], right[node[i]])
         depth[i] += 1
         active = feat[node] >= 0
-    return depth + np.array([_c(s) for s in size])[node]
+    return depth + _c_vec(size)[node]
 
 
 def isolation_forest(df: DataFrame, cols: Sequence[str], key: str, n_trees: int = 100,
@@ -126,7 +133,9 @@ def isolation_forest(df: DataFrame, cols: Sequence[str], key: str, n_trees: int
 
     forest_schema = ("tree int, psi int, feat array<int>, thr array<double>, left array<int>, "
                      "right array<int>, size array<int>")
-    forest = picked.groupBy("tree").applyInPandas(build, forest_schema).collect()
+    spark = df.sparkSession
+    forest = (picked.repartition(cpu_partitions(spark, n_trees), "tree")
+              .groupBy("tree").applyInPandas(build, forest_schema).collect())
     trees = [(list(r["feat"]), list(r["thr"]), list(r["left"]), list(r["right"]), list(r["size"])) for r in forest]
     psi = max((r["psi"] for r in forest), default=sample_size)
     bc = df.sparkSession.sparkContext.broadcast(trees)
@@ -140,7 +149,10 @@ def isolation_forest(df: DataFrame, cols: Sequence[str], key: str, n_trees: int
             yield pd.DataFrame({key: pdf[key], "iso_score": np.power(2.0, -h / cpsi)})
 
     key_type = df.schema[key].dataType.simpleString()
-    scores = x.mapInPandas(score, f"{key} {key_type}, iso_score double")
+    # Scoring is the CPU-heavy step: spread it over the cluster's cores, and
+    # keep the scores (checkpointed) for the quantile and flag jobs.
+    scores = x.repartition(cpu_partitions(spark), key).mapInPandas(score, f"{key} {key_type}, iso_score double")
+    scores = cut_lineage(scores)
     cut = exact_quantiles(scores, ["iso_score"], [1.0 - contamination]).first()["value"]
     flagged = scores.withColumn("anomaly_score", (F.col("iso_score") > F.lit(cut)).cast("int"))
     return df.join(flagged, key, "left")

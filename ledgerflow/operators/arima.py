@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerflow.session import cpu_partitions
+
 
 def candidate_orders(max_p: int = 2, max_q: int = 2, max_P: int = 1, max_Q: int = 1,
                      d_values=(0, 1)) -> list[tuple[int, int, int, int, int, int]]:
@@ -222,7 +224,9 @@ def order_search(series: DataFrame, orders=None, m: int = 7) -> DataFrame:
         return pd.DataFrame([{**row, "n": r["n"], "sigma2": r["sigma2"], "llf": r["llf"], "aic": r["aic"],
                               "bic": r["bic"], "hqic": r["hqic"], "params": [float(v) for v in params]}])
 
-    return x.groupBy("series", *ORDER_FIELDS).applyInPandas(fit_group, SEARCH_SCHEMA)
+    n = cpu_partitions(series.sparkSession)
+    return (x.repartition(n, "series", *ORDER_FIELDS)
+            .groupBy("series", *ORDER_FIELDS).applyInPandas(fit_group, SEARCH_SCHEMA))
 
 
 def best_orders(search: DataFrame) -> DataFrame:
@@ -256,4 +260,5 @@ def forecast_series(series: DataFrame, best: DataFrame, steps: int = 30, m: int
                           "value": np.where(np.isnan(fitted), None, fitted), "lower": None, "upper": None})
         return pd.concat([f, g], ignore_index=True)
 
-    return x.groupBy("series").applyInPandas(run, FORECAST_SCHEMA)
+    n = cpu_partitions(series.sparkSession)
+    return x.repartition(n, "series").groupBy("series").applyInPandas(run, FORECAST_SCHEMA)

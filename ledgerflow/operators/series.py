@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerflow.session import cpu_partitions
+
 
 def daily_series(df: DataFrame, series: str | None, ts: str, value_expr, gap_policy: str = "error",
                  agg=F.avg) -> DataFrame:
@@ -127,7 +129,9 @@ def pacf(s: DataFrame, nlags: int = 50) -> DataFrame:
         return pd.DataFrame({"series": pdf["series"].iloc[0], "lag": np.arange(len(out)),
                              "pacf": out, "band": 1.96 / np.sqrt(n)})
 
-    return r.groupBy("series").applyInPandas(run, "series string, lag int, pacf double, band double")
+    n = cpu_partitions(s.sparkSession)
+    return r.repartition(n, "series").groupBy("series").applyInPandas(
+        run, "series string, lag int, pacf double, band double")
 
 
 def residual_diagnostics(resid: DataFrame, value: str = "resid", lb_lags=(1, 10)) -> DataFrame:

@@ -101,3 +101,14 @@ def prepare(spark: SparkSession) -> None:
                 spark.conf.set(k, v)
         except Exception:  # static conf
             pass
+
+
+def cpu_partitions(spark: SparkSession, groups: int | None = None) -> int:
+    """Partition count for CPU-heavy Python stages.
+
+    AQE coalesces shuffle partitions by bytes, which puts small but
+    compute-heavy groups (model fits, tree scoring) into one task; an explicit
+    ``repartition(n, keys)`` is left alone by AQE.  ``n`` is the cluster's
+    parallelism, capped by the number of groups when that is known."""
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return max(1, min(n, groups)) if groups else n
