@@ -138,13 +138,45 @@ def _nelder_mead(f, x0, max_iter=400, tol=1e-8):
     return pts[i], vals[i]
 
 
-def fit_css(y: np.ndarray, order, m: int = 7) -> dict:
+# Fixed value: 5 % critical value of the KPSS level-stationarity statistic.
+KPSS_CRITICAL_5PCT = 0.463
+
+
+def kpss_stat(y: np.ndarray) -> float:
+    """KPSS level-stationarity statistic with a Newey-West long-run variance
+    (lag truncation ``int(3 sqrt(n) / 13)``)."""
+    y = np.asarray(y, dtype=float)
+    n = len(y)
+    e = y - y.mean()
+    s = np.cumsum(e)
+    lags = int(3 * np.sqrt(n) / 13)
+    lrv = np.dot(e, e) / n
+    for k in range(1, lags + 1):
+        lrv += 2 * (1 - k / (lags + 1)) * np.dot(e[k:], e[:-k]) / n
+    return float(np.dot(s, s) / (n * n * lrv)) if lrv > 0 else 0.0
+
+
+def choose_d(y: np.ndarray, max_d: int = 1) -> int:
+    """Smallest differencing order whose series passes the KPSS test."""
+    x = np.asarray(y, dtype=float)
+    for d in range(max_d + 1):
+        if len(x) < 8 or kpss_stat(x) <= KPSS_CRITICAL_5PCT:
+            return d
+        x = np.diff(x)
+    return max_d
+
+
+def fit_css(y: np.ndarray, order, m: int = 7, burn: int | None = None) -> dict:
     """CSS fit of one order on one series; returns fit statistics and the
-    coefficient vector (in the natural parameterisation)."""
+    coefficient vector (in the natural parameterisation).
+
+    ``burn`` observations of the differenced series are conditioned on and
+    left out of the sum of squares; give every candidate the same ``burn`` so
+    their likelihoods (and AICs) are computed on the same sample."""
     p, d, q, P, D, Q = order
     w = np.diff(y, n=d) if d else y.astype(float)
     trend = d == 0
-    burn = p + P * m
+    burn = max(p + P * m, burn or 0)
     k = p + q + P + Q + int(trend)
     if len(w) - burn <= k + 1:
         return {"ok": False}
@@ -209,13 +241,19 @@ def order_search(series: DataFrame, orders=None, m: int = 7) -> DataFrame:
     (series, order) with the fit statistics and coefficients
     ``[mu?, ar..., ma..., sar..., sma...]``."""
     orders = orders or candidate_orders()
+    burn = max(o[0] + o[3] * m for o in orders)
+    d_values = sorted({o[1] for o in orders})
     arr = F.array(*[F.struct(*[F.lit(o[i]).alias(ORDER_FIELDS[i]) for i in range(6)]) for o in orders])
     x = series.select("series", "day", "value", F.explode(arr).alias("o")).select("series", "day", "value", "o.*")
 
     def fit_group(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("day")
         order = tuple(int(pdf[c].iloc[0]) for c in ORDER_FIELDS)
-        r = fit_css(pdf["value"].to_numpy(dtype=float), order, m)
+        y = pdf["value"].to_numpy(dtype=float)
+        # d is chosen per series by the KPSS test (same answer in every group
+        # of the series); candidates with another d are not fitted.
+        d_series = choose_d(y, max(d_values)) if len(d_values) > 1 else d_values[0]
+        r = fit_css(y, order, m, burn) if order[1] == d_series else {"ok": False}
         row = {"series": pdf["series"].iloc[0], **dict(zip(ORDER_FIELDS, order))}
         if not r["ok"]:
             return pd.DataFrame([{**row, "n": 0, "sigma2": None, "llf": None, "aic": None, "bic": None,
@@ -245,12 +283,13 @@ def forecast_series(series: DataFrame, best: DataFrame, steps: int = 30, m: int
     (K5, K6): ``kind`` is 'forecast' or 'fitted'.  The chosen order is
     joined on the series key (one row per series)."""
     x = series.join(best.select("series", *ORDER_FIELDS), "series")
+    burn = max(o[0] + o[3] * m for o in candidate_orders())
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("day")
         order = tuple(int(pdf[c].iloc[0]) for c in ORDER_FIELDS)
         y = pdf["value"].to_numpy(dtype=float)
-        fit = fit_css(y, order, m)
+        fit = fit_css(y, order, m, burn)
         fc, lo, hi, fitted = forecast(y, fit, order, steps, m)
         last = pd.Timestamp(pdf["day"].iloc[-1])
         days = [(last + pd.Timedelta(days=i + 1)).date() for i in range(steps)]

@@ -152,9 +152,9 @@ def group_rank_desc(df: DataFrame, group: str, value: str, out: str = "rank",
     keyed = bucketize(df.select(group, value).filter(F.col(value).isNotNull()), [value], buckets)
     long = keyed.select(group, F.col(value).alias("v"), F.col(f"{value}__b").alias("b"))
     spans = rank_spans(long, [group], descending=True).select(
-        group, F.col("v").alias("_v"), (F.col("first") + 1).alias(out))
-    return df.join(spans, (df[group].eqNullSafe(spans[group])) & (df[value].cast("double") == spans["_v"]),
-                   "left").drop(spans[group]).drop("_v")
+        F.col(group).alias("_grp"), F.col("v").alias("_v"), (F.col("first") + 1).alias(out))
+    cond = F.col(group).eqNullSafe(F.col("_grp")) & (F.col(value).cast("double") == F.col("_v"))
+    return df.join(spans, cond, "left").drop("_grp", "_v")
 
 
 def window_features(df: DataFrame, order_by: Sequence[str], amount: str = "TransactionAmt",

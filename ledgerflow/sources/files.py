@@ -109,6 +109,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Se
     """Write a report or chart table (A6, A7, A9); ``overwrite`` is atomic per
     job through Spark's commit protocol."""
     w = df.write.mode("overwrite").format(fmt)
+    if fmt == "csv":
+        w = w.option("header", True)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
