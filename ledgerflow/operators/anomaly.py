@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.functions.columns import any_abs_exceeds
 from ledgerflow.operators.features import column_moments
-from ledgerflow.operators.quantiles import exact_quantiles
+from ledgerflow.operators.quantiles import quantiles
 from ledgerflow.session import cpu_partitions, cut_lineage
 
 
@@ -153,7 +153,7 @@ def isolation_forest(df: DataFrame, cols: Sequence[str], key: str, n_trees: int
     # keep the scores (checkpointed) for the quantile and flag jobs.
     scores = x.repartition(cpu_partitions(spark), key).mapInPandas(score, f"{key} {key_type}, iso_score double")
     scores = cut_lineage(scores)
-    cut = exact_quantiles(scores, ["iso_score"], [1.0 - contamination]).first()["value"]
+    cut = quantiles(scores, ["iso_score"], [1.0 - contamination]).first()["value"]
     flagged = scores.withColumn("anomaly_score", (F.col("iso_score") > F.lit(cut)).cast("int"))
     return df.join(flagged, key, "left")
 
@@ -188,5 +188,5 @@ def kmeans_distance(df: DataFrame, cols: Sequence[str], centres: Sequence[Sequen
     for i in reversed(range(len(d))):
         cluster = F.when(d[i] == dist, F.lit(i)).otherwise(cluster)
     out = df.withColumn("distance_from_centroid", dist).withColumn("cluster", cluster)
-    cut = exact_quantiles(out, ["distance_from_centroid"], [quantile]).first()["value"]
+    cut = quantiles(out, ["distance_from_centroid"], [quantile]).first()["value"]
     return out.withColumn("anomaly_score", (F.col("distance_from_centroid") > F.lit(cut)).cast("int"))

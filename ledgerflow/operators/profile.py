@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ledgerflow.functions.columns import columns_of_type
 from ledgerflow.functions.money import cents
 from ledgerflow.operators.quality import data_types, duplicate_count, null_counts, top_values
-from ledgerflow.operators.quantiles import exact_quantiles, unpivot
+from ledgerflow.operators.quantiles import quantiles, unpivot
 from ledgerflow.operators.sampling import simple_sample, stratified_sample
 
 PROFILE_QUANTILES = [0.05, 0.25, 0.5, 0.75, 0.95]
@@ -56,7 +56,7 @@ def numeric_profile(df: DataFrame, cols: Sequence[str] | None = None,
     n = F.col("n").cast("double")
     mom = mom.withColumn("skewness", F.col("_skew_pop") * F.sqrt(n * (n - 1)) / (n - 2)).drop("_skew_pop")
     mom = mom.withColumn("cv", F.col("std") / F.col("mean"))
-    q = exact_quantiles(df, cols, PROFILE_QUANTILES).groupBy("column").pivot(
+    q = quantiles(df, cols, PROFILE_QUANTILES).groupBy("column").pivot(
         "prob", PROFILE_QUANTILES).agg(F.first("value"))
     names = {str(p): f"p{int(round(p * 100)):02d}" for p in PROFILE_QUANTILES}
     q = q.select("column", *[F.col(f"`{k}`").alias(v) for k, v in names.items()])

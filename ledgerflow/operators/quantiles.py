@@ -132,9 +132,33 @@ def approx_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         "value")
 
 
+# Up to this many rows the exact ``percentile`` aggregate is used: its
+# buffer (one entry per distinct value of a column) is then bounded.
+SMALL_EXACT_ROWS = 2_000_000
+
+
+def percentile_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Exact quantiles with Spark's ``percentile`` aggregate (one job); only
+    for inputs proven small, since it holds every distinct value in a buffer."""
+    long = unpivot(df, cols)
+    agg = long.groupBy("column").agg(F.percentile("v", [float(q) for q in probs]).alias("qs"))
+    return agg.select("column", F.posexplode("qs").alias("i", "value")).select(
+        "column", F.element_at(F.array(*[F.lit(float(q)) for q in probs]), F.col("i") + 1).alias("prob"),
+        "value")
+
+
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
               method: str = "exact", rel_err: float = 0.05) -> DataFrame:
+    """Quantiles of several columns -> ``(column, prob, value)``.
+
+    ``exact``: linear interpolation between order statistics; the single-job
+    ``percentile`` aggregate below a checked row bound, the distributed rank
+    path above it.  ``approx``: ``percentile_approx`` with ``rel_err``."""
     if method == "exact":
+        from ledgerflow.operators.joins import has_at_most
+
+        if has_at_most(df, SMALL_EXACT_ROWS):
+            return percentile_quantiles(df, cols, probs)
         return exact_quantiles(df, cols, probs)
     if method == "approx":
         return approx_quantiles(df, cols, probs, rel_err)
