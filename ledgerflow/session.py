@@ -57,6 +57,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
                 pass
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -92,9 +93,39 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``ledgerflow`` importable in Python workers (once per context).
+
+    Pandas UDFs and grouped maps refer to functions of this package by module
+    name, so executors need the code; it is zipped and added with
+    ``addPyFile``, the same as ``--py-files`` on ``spark-submit``."""
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="ledgerflow-pyfiles-"), "ledgerflow.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
+
+
 def prepare(spark: SparkSession) -> None:
     """Apply the package's runtime settings to a session built elsewhere
-    (the session time zone above all: bucket boundaries depend on it)."""
+    (the session time zone above all: bucket boundaries depend on it), and
+    ship the package to the Python workers."""
+    ship_package(spark)
     for k, v in BASE_CONF.items():
         try:
             if spark.conf.get(k, None) != v:
