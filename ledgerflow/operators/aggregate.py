@@ -88,9 +88,10 @@ def resample(df: DataFrame, ts_col: str, freq: str, agg_dict: Mapping[str, objec
              out_col: str | None = None, fill_gaps: bool = True) -> DataFrame:
     """Time-bucket aggregate with empty buckets kept.
 
-    One hash aggregate by bucket; the calendar spine is generated from the
-    min/max bucket of that (already small) result, so the raw table is read
-    once.  Empty buckets get 0 for sum/count/nunique and null otherwise.
+    One hash aggregate by bucket, left-joined from a calendar spine between
+    the first and last bucket.  Catalyst computes those two bounds with a
+    second, column-pruned pass (min/max of the timestamp column only).
+    Empty buckets get 0 for sum/count/nunique and null otherwise.
     """
     if ts_col not in df.columns:
         raise ValueError(f'The DataFrame must contain a "{ts_col}" column.')
