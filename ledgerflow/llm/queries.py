@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import minhash, mixing, quality, spm, toxicity
+from ledgerflow.llm import embeddings, langid, licenses, minhash, mixing, quality, quotes, spm, toxicity, urls
 from ledgerflow.llm.common import fold, read_table
 
 QUERIES: dict = {}
@@ -102,3 +102,149 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@query("op1_embeddings", r"""
+WITH RECURSIVE v AS (SELECT vec_id, [x::DOUBLE FOR x IN embedding] AS e FROM embeddings WHERE embedding IS NOT NULL),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT r.a AS vec_id, (SELECT count(*) FROM l WHERE l.a = r.a) AS n_links, min(r.b) AS component_id, min(r.b) = r.a AS kept
+FROM r GROUP BY r.a
+""")
+def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and verdict of every vector."""
+    return embeddings.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+@query("op4_langid")
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the rows outside the held-out fold."""
+    docs = read_table(spark, sf_dir, "documents")
+    got = langid.identify(docs, langid.fit_languages(docs.where(fold("doc_id", 4) != 2)))
+    return got.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+QUOTES_SQL = rf"""
+WITH RECURSIVE m AS (SELECT row_number() OVER () AS r, conv_id, turn, role, text FROM conversations),
+l AS (SELECT r, conv_id, turn, unnest(range(len(ls))) AS pos, unnest(ls) AS line FROM (SELECT *, string_split(text, chr(10)) AS ls FROM m)),
+c AS (SELECT *, len(regexp_replace(regexp_extract(line, '{quotes.QUOTE}'), '[^>]', '', 'g')) AS level,
+             trim(regexp_replace(lower(regexp_replace(line, '{quotes.QUOTE}', '')), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) AS content FROM l),
+b AS (SELECT *, lag(level) OVER w AS pl, lag(content) OVER w AS pc FROM c WINDOW w AS (PARTITION BY r ORDER BY pos)),
+n AS (SELECT *, sum(CASE WHEN pl IS NULL OR pl <> level OR pc = '' OR content = '' THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY pos) AS run FROM b),
+g AS (SELECT r, conv_id, turn, level, list(content ORDER BY pos) AS cs FROM n WHERE content <> '' GROUP BY r, conv_id, turn, level, run),
+p AS (SELECT r, conv_id, turn, level, unnest(CASE WHEN len(cs) > 1 THEN list_prepend(array_to_string(cs, ' '), cs) ELSE cs END) AS content FROM g),
+q AS (SELECT DISTINCT r, conv_id, turn, content FROM p WHERE level = 1),
+f AS (SELECT q.r, q.content, max(s.turn) AS said FROM q JOIN p s ON s.content = q.content AND s.conv_id IS NOT DISTINCT FROM q.conv_id
+      WHERE s.level = 0 AND s.turn < q.turn GROUP BY q.r, q.content),
+v AS (SELECT r, said, sum(len(content)) AS chars, count(*) AS n FROM f GROUP BY r, said),
+a AS (SELECT r, (max({{'chars': chars, 'said': said}})).said AS reply_to, sum(n)::BIGINT AS n_linked FROM v GROUP BY r),
+e AS (SELECT conv_id, turn, min(reply_to) AS up FROM m JOIN a USING (r) GROUP BY conv_id, turn),
+t AS (SELECT conv_id, turn, up FROM e
+      UNION SELECT t.conv_id, t.turn, e.up FROM t JOIN e ON e.conv_id IS NOT DISTINCT FROM t.conv_id AND e.turn = t.up),
+h AS (SELECT conv_id, turn, min(up) AS thread FROM t GROUP BY conv_id, turn),
+k AS (SELECT r, count(*) AS n_quotes FROM q GROUP BY r),
+o AS (SELECT m.r, m.conv_id, m.turn, m.role, a.reply_to, coalesce(h.thread, m.turn) AS thread, coalesce(n_quotes, 0) AS n_quotes, coalesce(n_linked, 0) AS n_linked,
+        CASE WHEN regexp_matches(text, '(?m){quotes.QUOTE}') THEN regexp_replace(array_to_string(
+          [x FOR x IN string_split(text, chr(10)) IF NOT regexp_matches(x, '{quotes.QUOTE}') AND NOT regexp_matches(lower(x), '{quotes.ATTRIBUTION}')], chr(10)),
+          '^\s+|\s+$', '', 'g') ELSE coalesce(text, '') END AS own
+      FROM m LEFT JOIN a USING (r) LEFT JOIN k USING (r) LEFT JOIN h ON h.conv_id IS NOT DISTINCT FROM m.conv_id AND h.turn = m.turn)
+SELECT conv_id, turn, role, reply_to, thread, row_number() OVER (PARTITION BY conv_id ORDER BY thread NULLS LAST, turn NULLS LAST, r) - 1 AS position,
+       n_quotes, n_linked, md5(own) AS text_md5
+FROM o
+"""
+
+
+@query("op3_quotes", QUOTES_SQL)
+def op3_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reply-ordered conversations without quotes; texts as digests."""
+    got = quotes.reply_ordered(read_table(spark, sf_dir, "conversations"))
+    return got.select("conv_id", "turn", "role", "reply_to", "thread", "position", "n_quotes", "n_linked",
+                      F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+def _licenses_sql() -> str:
+    def text(x: str) -> str:
+        return "'" + x.replace("'", "''") + "'"
+
+    def canonical(x: str) -> str:
+        c = f"translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+        c = f"regexp_replace({c}, '(?m){licenses.COPYRIGHT_LINE}', ' ', 'g')"
+        c = f"' ' || regexp_replace({c}, '[^a-z0-9]+', ' ', 'g') || ' '"
+        for a, b in licenses.EQUIVALENT:
+            c = f"replace({c}, ' {a} ', ' {b} ')"
+        return f"md5(nullif(trim({c}), ''))"
+
+    known = ", ".join(f"({i}, {text(n)}, {text(t)})" for i, (n, t) in enumerate(licenses.KNOWN))
+    return f"""
+WITH known AS (SELECT digest, arg_min(license, i) AS license FROM (
+       SELECT i, license, {canonical('known_text')} AS digest FROM (VALUES {known}) AS t(i, license, known_text)) GROUP BY 1),
+d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+p AS (SELECT r, doc_id, true AS entire, text AS part FROM d
+      UNION ALL SELECT r, doc_id, false, unnest(string_split(text, chr(10))) FROM d WHERE contains(text, chr(10))
+      UNION ALL SELECT * FROM (SELECT r, doc_id, false, unnest(string_split_regex(text, '{licenses.PARAGRAPH_BREAK}')) AS part
+                               FROM d WHERE regexp_matches(text, '{licenses.PARAGRAPH_BREAK}')) WHERE contains(part, chr(10))),
+h AS (SELECT r, doc_id, entire, {canonical('part')} AS digest FROM p),
+j AS (SELECT h.*, known.license FROM h LEFT JOIN known USING (digest))
+SELECT doc_id, max(CASE WHEN entire THEN digest END) AS digest, max(CASE WHEN entire THEN license END) AS license,
+       coalesce(array_to_string(list_sort(list(DISTINCT license) FILTER (NOT entire AND license IS NOT NULL)), ','), '') AS notices,
+       count(license) FILTER (NOT entire) AS n_notices
+FROM j GROUP BY r, doc_id
+"""
+
+
+@query("op7_licenses", _licenses_sql())
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences that the entire text, or an entire line or paragraph, of each document is."""
+    return licenses.scan(read_table(spark, sf_dir, "documents"))
+
+
+def _urls_sql() -> str:
+    fit = "\n         ".join(f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN {{'rule': '{h + p}', 'verdict': '{v}'}}"
+                            for h, p, v in sorted(urls.RULES, key=lambda r: (-len(r[0] + r[1]), r)))
+    levels = [*range(1, urls.LEVELS + 1), "leaf"]
+
+    def key(d) -> str:
+        return "''" if d == 0 else "array_to_string(t, '/')" if d == "leaf" else f"array_to_string(t[1:{d}], '/')"
+
+    widen = []
+    for at in range(1, urls.LEVELS + 1):
+        widen.append(f"""k{at} AS (SELECT host, array_to_string(t[1:{at - 1}], '/') AS parent, t[{at}] AS kid, sum(n) AS n FROM g{at - 1}
+       WHERE len(t) >= {at} GROUP BY 1, 2, 3),
+w{at} AS (SELECT host, parent FROM k{at} WHERE kid <> '*' GROUP BY 1, 2
+       HAVING count(*) >= {urls.MANY_CHILDREN} AND sum(n) < {urls.FEW_PAGES} * count(*)),
+g{at} AS (SELECT g.* REPLACE (CASE WHEN w.host IS NOT NULL THEN list_concat(list_concat(t[1:{at - 1}], ['*']), t[{at + 1}:]) ELSE t END AS t)
+       FROM g{at - 1} g LEFT JOIN w{at} w ON g.host = w.host AND array_to_string(t[1:{at - 1}], '/') = w.parent AND len(t) >= {at})""")
+    sums = ", ".join(f"sum(labelled) OVER (PARTITION BY host, {key(d)}) AS n{d}, sum(blocked) OVER (PARTITION BY host, {key(d)}) AS b{d}"
+                     for d in [0, *levels])
+    chosen, n, b, at = [], "n0", "b0", "s"
+    for d in levels:
+        p = f"(({b} + 1.0) / ({n} + 2.0))"
+        apart = f"(CASE WHEN n{d} > 0 THEN abs(b{d}::DOUBLE / n{d} - {p}) / sqrt({p} * (1.0 - {p}) / n{d}) >= {urls.Z} ELSE false END)"
+        chosen.append(f"c{d} AS (SELECT *, CASE WHEN {apart} THEN n{d} ELSE {n} END AS en{d}, CASE WHEN {apart} THEN b{d} ELSE {b} END AS eb{d} FROM {at})")
+        n, b, at = f"en{d}", f"eb{d}", f"c{d}"
+    return rf"""
+WITH a AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+x AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM a),
+y AS (SELECT *, CASE {fit} END AS r,
+             [CASE WHEN regexp_matches(s, '[0-9]') OR len(s) > {urls.LONG_SEGMENT} THEN '*' ELSE s END FOR s IN string_split(path, '/') IF s <> ''] AS lex FROM x),
+z AS (SELECT *, CASE WHEN r IS NULL THEN NULL WHEN r.verdict = 'block' THEN 1 ELSE 0 END AS label FROM y),
+g0 AS (SELECT host, lex, lex AS t, count(*) AS n, count(label) AS labelled, coalesce(sum(label), 0) AS blocked FROM z GROUP BY host, lex),
+{", ".join(widen)},
+s AS (SELECT *, {sums} FROM g{urls.LEVELS}),
+{", ".join(chosen)},
+o AS (SELECT sum(blocked) AS b_all, sum(labelled) AS n_all FROM g0),
+f AS (SELECT host, lex, array_to_string(t, '/') AS template,
+        ({b} + {urls.PRIOR} * ((b0 + {urls.PRIOR} * (CASE WHEN n_all > 0 THEN b_all::DOUBLE / n_all ELSE 0.0 END)) / (n0 + {urls.PRIOR}))) / ({n} + {urls.PRIOR}) AS purity
+      FROM {at}, o)
+SELECT page_id, z.host, path, r.rule AS rule, coalesce(r.verdict, CASE WHEN purity >= {urls.REJECT} THEN 'block' ELSE 'allow' END) AS verdict,
+       template, purity
+FROM z JOIN f ON z.host = f.host AND z.lex = f.lex
+"""
+
+
+@query("op9_urls", _urls_sql())
+def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url."""
+    return urls.judge(read_table(spark, sf_dir, "pages"))

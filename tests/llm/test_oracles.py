@@ -1,0 +1,120 @@
+"""Every query with SQL agrees with it: on the smallest tables, on edge tables and on empty ones."""
+
+import pytest
+from llm_data import DOC, edge_documents
+
+from ledgerflow.llm import queries as Q
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(Q.ORACLE))
+def test_small_tables(name, agree):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "embeddings", "pages", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    assert agree(name, SF, con) > 0
+
+
+def test_mixing_edges(tables, agree):
+    folder, con = tables(documents=(DOC, edge_documents()))
+    assert agree("op6_mixing", folder, con) == len(edge_documents())
+
+
+def test_licenses_edges(tables, agree):
+    docs = [(1, "Released under the MIT Licence!", None, None, None), (2, "x\n\nreleased UNDER the MIT license\ny", None, None, None),
+            (3, None, None, None, None), (4, "", None, None, None), (5, "!!!", None, None, None),
+            (6, Q.licenses.MIT_TEXT.replace("MIT License", "MIT License\n\nCopyright (c) 2020 Somebody") + "\n\n", None, None, None),
+            (7, "Copyright 2021 X\nAll rights reserved.\n" + Q.licenses.ISC_TEXT.upper(), None, None, None), (None, "x" * 200_000, None, None, None)]
+    folder, con = tables(documents=(DOC, docs + docs[:1]))
+    agree("op7_licenses", folder, con)
+    rows = [tuple(r) for r in Q.licenses.scan(session().read.parquet(f"{folder}/documents.parquet")).select("doc_id", "license", "notices", "n_notices").collect()]
+    assert sorted(rows, key=str) == sorted([(1, "MIT", "", 0), (1, "MIT", "", 0), (2, None, "MIT", 1), (3, None, "", 0), (4, None, "", 0),
+                                            (5, None, "", 0), (6, "MIT", "", 0), (7, "ISC", "", 0), (None, None, "", 0)], key=str)
+
+
+def session():
+    from pyspark.sql import SparkSession
+
+    return SparkSession.active()
+
+
+def test_url_edges(tables, agree):
+    urls = [None, "", "no scheme", "http://", "http://ORG", "http://x.org/", "http://x.org", "https://a.Example.ORG/es/1?x#y", "http://example.org/en/1",
+            "http://example.org/en/2#f", "http://notexample.org/es/1", "http://x.com/fr/9", "http://x.com/de/9", "http://x.com/de", "http://com/de/",
+            "ftp://h/p?q://z", "http://a.b/" + "s" * 200_000, "http://h.net/a//b/", "http://é.com/FR/1"]
+    rows = [(i, u, None) for i, u in enumerate(urls)] + [(0, None, "again"), (None, "http://x.com/de/1", None)]
+    rows += [(100 + i, f"http://many.com/de/p{'abcdefgh'[i % 8] * (i // 8 + 1)}/x", None) for i in range(64)]
+    rows += [(300 + i, f"http://bad.com/{'de' if i % 20 else 'fr'}/{i}", None) for i in range(200)] + [(600, "http://bad.com/new/7", None)]
+    folder, con = tables(pages=("page_id long, url string, html string", rows))
+    assert agree("op9_urls", folder, con) == len(rows)
+    got = {r["page_id"]: r for r in Q.QUERIES["op9_urls"](session(), folder).collect()}
+    assert got[5]["rule"] == "org/" and got[6]["rule"] is None and got[7]["rule"] == "example.org/es/" and got[8]["verdict"] == "block"
+    assert got[14]["rule"] == "com/de/" and got[13]["rule"] is None and got[600]["verdict"] == "block" and got[600]["rule"] is None
+
+
+CONV = "conv_id long, turn long, role string, text string"
+
+
+def test_quotes(tables, agree):
+    rows = [
+        (1, 0, "user", "Hello there.\nHow are you?"), (1, 1, "assistant", "Fine, thanks.\nAnd you?"),
+        (1, 2, "user", "On Monday Bob wrote:\n> Fine, thanks.\n>> hello THERE\n>> how are you\nGood."),
+        (1, 3, "user", "> And  you?\n> > How are you?\nwell"), (1, 4, "user", ">good.\nok"), (1, 5, "user", "ok"),
+        (1, 6, "assistant", "> ok\n> never said\nwhat"), (2, 0, "user", "> ok\nnothing to find"), (None, 0, None, "alone"), (None, 1, None, "> alone\nyes"),
+        (3, None, "user", "no turn"), (3, 0, "user", None), (3, 1, "user", ""), (3, 2, "user", "> \n>\n"), (3, 3, "u", "> a b\n> c\n\n\nx"), (4, 7, "u", "w " * 100_000),
+    ]
+    folder, con = tables(conversations=(CONV, rows))
+    assert agree("op3_quotes", folder, con) == len(rows)
+    got = {(r.conv_id, r.turn): r for r in Q.quotes.reply_ordered(session().read.parquet(f"{folder}/conversations.parquet")).collect()}
+    assert (got[1, 2].reply_to, got[1, 2].thread, got[1, 2].text) == (1, 1, "Good.")
+    assert (got[1, 3].reply_to, got[1, 4].reply_to, got[1, 4].thread, got[1, 6].reply_to) == (1, 2, 1, 5)
+    assert [t for (c, t), r in sorted(got.items(), key=lambda x: x[1].position) if c == 1] == [0, 1, 2, 3, 4, 5, 6]
+
+
+def test_quotes_over_many_turns(tables, agree):
+    rows = [(1, t, "u", f"> line {t - 300}\nline {t}\ncommon" if t >= 300 else f"line {t}\ncommon") for t in range(900)]
+    rows += [(1, 1000 + t, "u", "> common\nyes") for t in range(40)]
+    folder, con = tables(conversations=(CONV, rows))
+    assert agree("op3_quotes", folder, con) == 940
+
+
+def test_embedding_edges(tables, agree):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    rows, base = [], rng.standard_normal((40, 16))
+    for i in range(300):
+        v = base[i % 40] + rng.standard_normal(16) * rng.choice([0.02, 0.1, 0.25])
+        rows.append((i, [float(np.float32(x)) for x in v], 1))
+    rows += [(1000, rows[0][1], 2), (1001, rows[0][1], 3), (1002, [2 * x for x in rows[1][1]], 0)]
+    folder, con = tables(embeddings=("vec_id long, embedding array<float>, label int", rows))
+    assert agree("op1_embeddings", folder, con) == len(rows)
+
+
+def test_minhash_edges(tables, agree, spark):
+    import random
+
+    rnd = random.Random(5)
+    docs, words = [], [f"w{i}" for i in range(400)]
+    for i in range(60):
+        ws = rnd.choices(words, k=rnd.choice([3, 30, 200, 600]))
+        docs.append((10 * i, " ".join(ws), None, "s", None))
+        for k in range(rnd.choice([0, 1, 3])):
+            w2 = list(ws)
+            for _ in range(rnd.choice([0, 1, 2, 8])):
+                w2[rnd.randrange(len(w2))] = "new"
+            docs.append((10 * i + k + 1, ("\n" if k else " ").join(w2), None, "s", None))
+    docs += [(5000, None, None, None, None), (5001, "", None, None, None), (5002, " ", None, None, None), (5003, "w " * 50_000, None, None, None),
+             (5004, "w " * 50_001, None, None, None)]
+    folder, con = tables(documents=(DOC, docs))
+    agree("op2_minhash", folder, con)
+
+
+@pytest.mark.parametrize("name", sorted(Q.ORACLE))
+def test_empty_tables(name, tables, agree):
+    folder, con = tables(documents=(DOC, []), embeddings=("vec_id long, embedding array<float>, label int", []),
+                         pages=("page_id long, url string, html string", []), conversations=(CONV, []))
+    assert agree(name, folder, con) == 0
