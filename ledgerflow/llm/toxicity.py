@@ -184,7 +184,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, learn=None, max_rows: int =
     lexicon = learn_lexicon(sample.where("part < 4")) if len(kinds) == 2 else {}
     if len(kinds) < 2:
         return ToxicityModel({}, None, None, float(kinds[0]) if kinds else 0.0)
-    x = shared_table(_described_rows(sample.where("part >= 4"), lexicon).select("row.y", "row.part", "x"), "toxicity-features")
+    # At most max_rows / 2 short rows, in one partition and by id: the trees' split points
+    # come from samples per partition, and reruns should learn the same trees.
+    x = shared_table(_described_rows(sample.where("part >= 4"), lexicon).select("row.doc_id", "row.y", "row.part", "x")
+                     .repartition(1).sortWithinPartitions("doc_id", "x"), "toxicity-features")
     x = x.select(F.col("y").cast("double").alias("label"), "part", array_to_vector("x").alias("features"))
     fit = x.where("part < 7")
     if fit.select("label").distinct().count() < 2:
