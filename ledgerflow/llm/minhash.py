@@ -22,9 +22,14 @@ Skew and pairs.  Exact copies (equal word sequences) are collapsed first by a
 partially aggregated ``groupBy``.  Inside a bucket the least document is
 compared with every other one (a star, linear in the bucket), and components of
 the verified links are built.  Pairs that this leaves open are those of one
-bucket in different components: they are found from the (bucket, component)
-table and compared as well, so no link between different texts is lost and a
-group of near copies is never expanded into all its pairs.
+bucket in different components.  One side of such a pair lies outside the bucket's
+largest component, so the members outside it are joined with all members: a group
+of near copies is never expanded into all its pairs, and its bucket costs its size
+times the number of strangers in it.  Of these pairs only those whose signatures
+agree in ``MIN_AGREEMENT`` of the coordinates (read from ``PLANES`` bits of each)
+go on to the exact comparison, each of them once (in its first common band); at
+the threshold itself that keeps a pair with probability 0.999 (0.999999 at 0.85), as
+the bands do.
 
 Defined results: a text that is null or has no word is compared with nothing
 and stays alone; rows of equal id and text count as copies; a null id sorts
@@ -34,9 +39,12 @@ gives an empty result; extra columns are ignored (``dedup`` keeps them).
 
 from __future__ import annotations
 
+import functools
+import operator
+
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.common import map_rows, setup, shared_table
@@ -47,6 +55,9 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS = 34
 ROWS = 7
+#: Bits kept of every coordinate, and the share of coordinates that has to agree.
+PLANES = 6
+MIN_AGREEMENT = 0.72
 
 _U = np.uint64
 
@@ -116,23 +127,30 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     return both / (int(a[1].sum()) + int(b[1].sum()) - both) if len(a[0]) and len(b[0]) else 0.0
 
 
-SIGNED = "id long, h binary, keys array<long>"
+SIGNED = "id long, h binary, keys array<long>, planes array<long>"
+_WORDS = -(-BANDS * ROWS // 64)
 
 
 def signed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, h, keys)`` of every document with an id: 128 bits of its word
-    sequence and its band keys; both null for a text without words."""
+    """``(id, h, keys, planes)`` of every document with an id: 128 bits of its word
+    sequence (null for a text without words), its band keys, and the low bits of
+    its signature as ``PLANES`` bit sets over the coordinates."""
     k = BANDS * ROWS
 
     def run(rows):
-        out = {"id": rows["id"], "h": [], "keys": []}
+        out = {"id": rows["id"], "h": [], "keys": [], "planes": []}
         for t in rows["text"]:
             s = shingles(t)
             if not len(s[0]):
                 out["h"].append(None)
                 out["keys"].append(np.empty(0, np.int64))
+                out["planes"].append(np.empty(0, np.int64))
                 continue
-            sig = dart_signature(*s, k).reshape(BANDS, ROWS)
+            sig = dart_signature(*s, k)
+            bits = np.zeros((PLANES, 64 * _WORDS), np.uint8)
+            bits[:, :k] = (sig[None, :] >> np.arange(PLANES, dtype=np.uint64)[:, None]) & _U(1)
+            out["planes"].append(np.packbits(bits).view(np.int64))
+            sig = sig.reshape(BANDS, ROWS)
             key = np.zeros(BANDS, np.uint64)
             for r in range(ROWS):
                 key = mix64(key * _U(0x9DDFEA08EB382D69) + sig[:, r])
@@ -165,17 +183,36 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return map_rows(pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb"), run, "a long, b long")
 
 
-def _other_pairs(members: DataFrame, comps: DataFrame, done: DataFrame) -> DataFrame:
-    """Pairs of one bucket that lie in different components and were not compared."""
+def _disagreement(a: str, b: str) -> Column:
+    """Coordinates in which two signatures differ, from their bit planes."""
+    words = []
+    for w in range(_WORDS):
+        differ = None
+        for p in range(PLANES):
+            x = F.get(a, F.lit(p * _WORDS + w)).bitwiseXOR(F.get(b, F.lit(p * _WORDS + w)))
+            differ = x if differ is None else differ.bitwiseOR(x)
+        words.append(F.bit_count(differ))
+    return functools.reduce(operator.add, words)
+
+
+def _other_pairs(members: DataFrame, comps: DataFrame, reps: DataFrame, done: DataFrame) -> DataFrame:
+    """Pairs of one bucket that lie in different components, were not compared yet
+    and agree in enough coordinates."""
     lab = members.join(comps, members["id"] == comps["node"], "left").select(
         "band", "key", "id", F.coalesce("component", "id").alias("comp"))
-    per = lab.select("band", "key", "comp").distinct()
-    mixed = per.groupBy("band", "key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("band", "key")
-    lab = shared_table(lab.join(mixed, ["band", "key"], "left_semi"), "mixed-buckets")
-    per = shared_table(lab.select("band", "key", F.col("comp").alias("comp2")).distinct(), "mixed-components")
-    meet = lab.join(per, ["band", "key"]).where("comp < comp2").select("band", "key", "id", "comp2")
-    other = lab.select("band", "key", F.col("comp").alias("comp2"), F.col("id").alias("id2"))
-    pairs = meet.join(other, ["band", "key", "comp2"]).select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"))
+    sizes = lab.groupBy("band", "key", "comp").agg(F.count(F.lit(1)).alias("n"))
+    mixed = sizes.groupBy("band", "key").agg(F.count(F.lit(1)).alias("c"), F.max(F.struct("n", "comp"))["comp"].alias("big"))
+    mixed = shared_table(mixed.where("c > 1").select("band", "key", "big"), "mixed-buckets")
+    lab = shared_table(lab.join(mixed, ["band", "key"]), "mixed-members").join(reps.select("id", "keys", "planes"), "id")
+    lab = shared_table(lab, "mixed-signatures")
+    left = lab.where("comp <> big").select("band", "key", "id", "comp", "keys", "planes")
+    right = lab.select("band", "key", "big", *[F.col(c).alias(f"{c}2") for c in ("id", "comp", "keys", "planes")])
+    most = int((1 - MIN_AGREEMENT) * BANDS * ROWS * (1 - 2.0**-PLANES))
+    earlier = F.exists(F.zip_with(F.slice("keys", F.lit(1), F.col("band")), F.slice("keys2", F.lit(1), F.col("band")), lambda x, y: x == y), lambda x: x)
+    pairs = left.join(right, ["band", "key"]).where(
+        (F.col("comp") != F.col("comp2")) & ((F.col("comp2") == F.col("big")) | (F.col("id") < F.col("id2")))
+        & (_disagreement("planes", "planes2") <= most) & ~earlier)
+    pairs = pairs.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"))
     return pairs.distinct().join(done, ["a", "b"], "left_anti")
 
 
@@ -185,8 +222,8 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     setup(docs.sparkSession)
     signed = shared_table(signed_texts(docs, id_col, text_col), "signed")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    reps = shared_table(signed.where("h is not null").groupBy("h").agg(F.min(F.struct("id", "keys")).alias("r"))
-                        .select("h", "r.id", "r.keys"), "distinct-texts")
+    reps = shared_table(signed.where("h is not null").groupBy("h").agg(F.min(F.struct("id", "keys", "planes")).alias("r"))
+                        .select("h", "r.id", "r.keys", "r.planes"), "distinct-texts")
     bands = reps.select("id", F.posexplode("keys").alias("band", "key"))
     buckets = shared_table(bands.groupBy("band", "key").agg(F.min("id").alias("rep"), F.max("id").alias("last"))
                            .where("rep < last").select("band", "key", "rep"), "buckets")
@@ -195,7 +232,7 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     star = shared_table(members.where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b")).distinct(), "star-pairs")
     links = shared_table(_verified(star, texts), "star-links")
     comps = components(links)
-    more = shared_table(_other_pairs(members, comps, star), "other-pairs")
+    more = shared_table(_other_pairs(members, comps, reps, star), "other-pairs")
     if not more.isEmpty():
         comps = components(links.union(shared_table(_verified(more, texts), "other-links")))
     rep_class = shared_table(reps.join(comps, reps["id"] == comps["node"], "left").select(
