@@ -165,7 +165,7 @@ def signed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs ``(a, b)``, a < b, whose texts reach the threshold."""
     ids = shared_table(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "candidates")
-    texts = shared_table(texts.join(ids, "id", "left_semi").distinct(), "candidate-texts")
+    texts = shared_table(texts.hint("merge").join(ids, "id", "left_semi").distinct(), "candidate-texts")
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
 
@@ -180,7 +180,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 out["b"].append(b)
         return out
 
-    return map_rows(pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb"), run, "a long, b long")
+    return map_rows(pairs.join(right.hint("merge"), "b").join(left.hint("merge"), "a").select("a", "b", "ta", "tb"), run, "a long, b long")
 
 
 def _disagreement(a: str, b: str) -> Column:
@@ -248,7 +248,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     seen = classes.where("h is not null").groupBy("id").agg(F.min("class_id").alias("class_id"), F.count(F.lit(1)).alias("n"))
     seen = shared_table(seen.select(F.col("id").alias("__lf_id"), "class_id", "n"), "class-of-id").select(
         "__lf_id", F.struct(F.col("class_id").alias("c"), F.col("n").alias("n")).alias("__lf_seen"))
-    joined = docs.join(seen, docs[id_col] == F.col("__lf_id"), "left").where(
+    # Texts are moved by the same plan at every size, whatever the table of classes would allow.
+    joined = docs.hint("merge").join(seen, docs[id_col] == F.col("__lf_id"), "left").where(
         "__lf_seen is null or __lf_seen.c = __lf_id")
     once = joined.where("__lf_seen is null or __lf_seen.n = 1").select(docs.columns)
     repeated = joined.where("__lf_seen.n > 1").select(docs.columns).dropDuplicates([id_col])

@@ -123,7 +123,8 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     n = shared_table(n.select(F.struct(F.col("doc_id").alias("a"), F.col("source").alias("b"), F.col("size").alias("c")).alias("__lf_key"),
                               F.struct("c", "m").alias("__lf_n")), "copies-of")
     key = F.struct(F.col(id_col).alias("a"), F.col(source_col).cast("string").alias("b"), _words(text_col).alias("c"))
-    rows = docs.withColumn("__lf_row", key).join(n, F.col("__lf_row") == F.col("__lf_key")).where("__lf_n.c > 0")
+    # Texts are moved by the same plan at every size.
+    rows = docs.withColumn("__lf_row", key).hint("merge").join(n, F.col("__lf_row") == F.col("__lf_key")).where("__lf_n.c > 0")
     single, repeated = rows.where("__lf_n.m = 1"), rows.where("__lf_n.m > 1").dropDuplicates(["__lf_row"])
     rows = single.union(repeated).withColumn("__lf_copy", F.explode(F.sequence(F.lit(1), F.col("__lf_n.c"))))
     return rows.select(docs.columns)
