@@ -59,7 +59,7 @@ def require_columns(df: DataFrame, *cols: str) -> None:
     """Raise ``ValueError`` when a required column is missing."""
     missing = [c for c in cols if c not in df.columns]
     if missing:
-        raise ValueError(f"The DataFrame must contain the column(s) {missing}.")
+        raise ValueError(f"missing column(s): {missing}")
 
 
 def ensure_timestamp(df: DataFrame, col: str = "sample_datetime") -> DataFrame:
@@ -78,7 +78,7 @@ def ensure_timestamp(df: DataFrame, col: str = "sample_datetime") -> DataFrame:
     out = df.withColumn(col, parsed)
     bad = df.select(F.count_if(F.col(col).isNotNull() & parsed.isNull()).alias("n")).first()["n"]
     if bad:
-        raise ValueError(f'Some values in the "{col}" column could not be converted to datetime.')
+        raise ValueError(f"{bad} value(s) of {col!r} are no timestamps")
     return out
 
 

@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerflow.functions.timecols import ensure_timestamp
+
 # Aggregate names accepted in agg dicts, and their value for an empty group.
 # ``None`` means the empty group yields null (pandas NaN).
 _NAMED: dict[str, tuple[Callable[[Column], Column], object]] = {
@@ -31,8 +33,11 @@ _NAMED: dict[str, tuple[Callable[[Column], Column], object]] = {
 
 
 def _resolve(func) -> tuple[str, Callable[[Column], Column], object]:
-    """Aggregate given as a name, a ``pyspark.sql.functions`` callable, or any
-    callable ``Column -> Column`` (including a grouped-agg ``pandas_udf``)."""
+    """Aggregate given as a name, a ``pyspark.sql.functions`` callable, any
+    callable ``Column -> Column`` (including a grouped-agg ``pandas_udf``), or a
+    pair ``(name, callable)``, which also names lambdas apart."""
+    if isinstance(func, tuple):
+        return func[0], func[1], None
     if isinstance(func, str):
         if func not in _NAMED:
             raise ValueError(f"unknown aggregate {func!r}")
@@ -50,7 +55,7 @@ def agg_exprs(agg_dict: Mapping[str, object]) -> list[tuple[str, Column, object]
     """
     out = []
     for col, funcs in agg_dict.items():
-        funcs = funcs if isinstance(funcs, (list, tuple)) else [funcs]
+        funcs = funcs if isinstance(funcs, list) else [funcs]
         for func in funcs:
             name, f, empty = _resolve(func)
             target = F.lit(1) if col == "*" else F.col(col)
@@ -88,13 +93,13 @@ def resample(df: DataFrame, ts_col: str, freq: str, agg_dict: Mapping[str, objec
              out_col: str | None = None, fill_gaps: bool = True) -> DataFrame:
     """Time-bucket aggregate with empty buckets kept.
 
-    One hash aggregate by bucket, left-joined from a calendar spine between
-    the first and last bucket.  Catalyst computes those two bounds with a
-    second, column-pruned pass (min/max of the timestamp column only).
-    Empty buckets get 0 for sum/count/nunique and null otherwise.
+    One hash aggregate by bucket; the gaps are filled from its result (one row
+    per bucket), each bucket spreading over the empty ones up to the next, so the
+    table is read once.  Empty buckets get 0 for sum/count/nunique and null
+    otherwise.  A timestamp given as text is parsed first, and refused if a value
+    does not parse.
     """
-    if ts_col not in df.columns:
-        raise ValueError(f'The DataFrame must contain a "{ts_col}" column.')
+    df = ensure_timestamp(df, ts_col)
     out_col = out_col or ts_col
     specs = agg_exprs(agg_dict)
     b = df.select(bucket_start(F.col(ts_col), freq).alias("_bucket"),
@@ -102,15 +107,13 @@ def resample(df: DataFrame, ts_col: str, freq: str, agg_dict: Mapping[str, objec
     grouped = b.filter(F.col("_bucket").isNotNull()).groupBy("_bucket").agg(*[e for _, e, _ in specs])
     if not fill_gaps:
         return grouped.withColumnRenamed("_bucket", out_col)
-    _, step = _UNITS[freq]
-    spine = grouped.agg(F.min("_bucket").alias("lo"), F.max("_bucket").alias("hi")).select(
-        F.explode(F.sequence("lo", "hi", F.expr(f"INTERVAL {step}"))).alias("_bucket"))
-    joined = spine.join(grouped, "_bucket", "left")
-    cols = [F.col("_bucket").alias(out_col)]
-    for alias, _, empty in specs:
-        cols.append(F.coalesce(F.col(alias), F.lit(empty)).alias(alias) if empty is not None
-                    else F.col(alias))
-    return joined.select(*cols)
+    step = F.expr(f"INTERVAL {_UNITS[freq][1]}")
+    following = F.lead("_bucket").over(Window.orderBy("_bucket"))
+    spread = grouped.withColumn("_next", F.coalesce(following, F.col("_bucket") + step)).select(
+        "*", F.explode(F.sequence(F.col("_bucket"), F.col("_next") - step, step)).alias("_at"))
+    own = F.col("_at") == F.col("_bucket")
+    return spread.select(F.col("_at").alias(out_col), *[
+        F.when(own, F.col(alias)).otherwise(F.lit(empty)).alias(alias) for alias, _, empty in specs])
 
 
 # --- period statistics over a labelled table (E5-E8, G8) -------------------

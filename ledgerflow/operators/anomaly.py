@@ -11,8 +11,12 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ledgerflow.functions.columns import any_abs_exceeds
 from ledgerflow.operators.features import column_moments
@@ -103,22 +107,28 @@ def isolation_forest(df: DataFrame, cols: Sequence[str], key: str, n_trees: int
                      sample_size: int = 256, contamination: float = 0.035, seed: int = 42) -> DataFrame:
     """Isolation forest (Liu, Ting and Zhou, 2008) scored on every row (M3).
 
-    Sampling: each row joins tree ``t`` when ``xxhash64(key, t, seed)`` falls
-    below ``p`` of the hash range (``p`` about 1.5 x sample_size / n), then
-    the ``sample_size`` smallest hashes per tree are kept; only about
-    1.5 x trees x sample_size rows are shuffled, whatever the table size, and
-    a retried task draws the same rows.  Trees are built in parallel, one
+    Sampling: every tree draws a row with probability ``p`` (1.5 x sample_size / n,
+    at most 1).  One hash of the key places a row on the unit interval, which is
+    cut into stretches of length ``p``, one per tree, so on a large table one hash
+    per row draws for all trees; a small table, where the stretches do not fit,
+    takes as many hashes as there are unit intervals.  Then the ``sample_size``
+    smallest hashes per tree are kept; only about 1.5 x trees x sample_size rows
+    are shuffled whatever the table size, and a retried task draws the same rows.
+    A tree that gets no row is an error.  Trees are built in parallel, one
     ``applyInPandas`` group each; the forest (at most trees x (2 x sample_size - 1)
-    nodes) is collected and broadcast; ``mapInPandas`` scores batches.  Rows
-    whose score exceeds the exact ``1 - contamination`` quantile are flagged.
+    nodes) is collected and broadcast.  Scoring appends a column to the Arrow
+    batches of the table: no row is moved or joined.  Rows whose score exceeds the
+    exact ``1 - contamination`` quantile are flagged; the quantile is taken from a
+    checkpoint of the scores alone.
     """
     cols = list(cols)
     n = df.count()
-    p = min(1.0, 1.5 * sample_size / max(n, 1))
-    m = 1 << 30
+    rounds, per_round, p = tree_draws(n, n_trees, sample_size)
     x = df.select(F.col(key), *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in cols])
-    draws = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)),
-                     lambda t: F.pmod(F.xxhash64(F.col(key), t, F.lit(seed)), F.lit(m)) < F.lit(int(p * m)))
+    u = [(F.xxhash64(F.col(key), F.lit(j), F.lit(seed)).cast("double") + F.lit(2.0**63)) / F.lit(2.0**64) for j in range(rounds)]
+    nth = [F.floor(v / F.lit(p)).cast("int") for v in u]
+    draws = F.filter(F.array(*[F.when(i < per_round, i + j * per_round) for j, i in enumerate(nth)]),
+                     lambda t: t.isNotNull() & (t < n_trees))
     picked = x.select("*", F.explode(draws).alias("tree")).withColumn(
         "_h", F.xxhash64(F.col(key), F.col("tree"), F.lit(seed + 1)))
     limit = int(math.ceil(math.log2(max(sample_size, 2))))
@@ -136,26 +146,32 @@ def isolation_forest(df: DataFrame, cols: Sequence[str], key: str, n_trees: int
     spark = df.sparkSession
     forest = (picked.repartition(cpu_partitions(spark, n_trees), "tree")
               .groupBy("tree").applyInPandas(build, forest_schema).collect())
+    if n and len(forest) < n_trees:
+        raise RuntimeError(f"{n_trees - len(forest)} of {n_trees} trees drew no row")
     trees = [(list(r["feat"]), list(r["thr"]), list(r["left"]), list(r["right"]), list(r["size"])) for r in forest]
     psi = max((r["psi"] for r in forest), default=sample_size)
     bc = df.sparkSession.sparkContext.broadcast(trees)
     cpsi = _c(psi)
+    at = [df.columns.index(c) for c in cols]
+    out_schema = StructType([*df.schema.fields, StructField("iso_score", DoubleType())])
+    arrow = to_arrow_schema(out_schema)
 
     def score(batches):
-        forest_local = bc.value
-        for pdf in batches:
-            xs = pdf[cols].to_numpy(dtype=float)
-            h = np.mean([_path_lengths(xs, t) for t in forest_local], axis=0) if forest_local else np.zeros(len(xs))
-            yield pd.DataFrame({key: pdf[key], "iso_score": np.power(2.0, -h / cpsi)})
-
-    key_type = df.schema[key].dataType.simpleString()
-    # Scoring is the CPU-heavy step: spread it over the cluster's cores, and
-    # keep the scores (checkpointed) for the quantile and flag jobs.
-    scores = x.repartition(cpu_partitions(spark), key).mapInPandas(score, f"{key} {key_type}, iso_score double")
-    scores = cut_lineage(scores)
-    cut = quantiles(scores, ["iso_score"], [1.0 - contamination]).first()["value"]
-    flagged = scores.withColumn("anomaly_score", (F.col("iso_score") > F.lit(cut)).cast("int"))
-    return df.join(flagged, key, "left")
+        for batch in batches:
+            xs = np.column_stack([pc.fill_null(pc.cast(batch.column(i), pa.float64()), 0.0).to_numpy(zero_copy_only=False) for i in at])
+            h = np.mean([_path_lengths(xs, t) for t in bc.value], axis=0) if len(xs) else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.power(2.0, -h / cpsi))], schema=arrow)
+
+    scored = df.mapInArrow(score, out_schema)
+    cut = quantiles(cut_lineage(scored.select("iso_score")), ["iso_score"], [1.0 - contamination]).first()
+    return scored.withColumn("anomaly_score", (F.col("iso_score") > F.lit(cut["value"] if cut else 1.0)).cast("int"))
+
+
+def tree_draws(n: int, n_trees: int, sample_size: int) -> tuple[int, int, float]:
+    """Hashes per row, trees drawn by each of them, and the chance ``p`` of a row for a tree."""
+    p = min(1.0, 1.5 * sample_size / max(n, 1))
+    per_round = min(n_trees, max(1, int(1.0 / p)))
+    return -(-n_trees // per_round), per_round, p
 
 
 # --- M4: k-means distance ----------------------------------------------------

@@ -1,4 +1,5 @@
-"""Joins (D1-D3, X1) and the size guard used before any broadcast."""
+"""Joins (D1-D3, X1).  No hints: adaptive execution broadcasts a side whose
+measured bytes allow it and splits skewed keys otherwise."""
 
 from __future__ import annotations
 
@@ -7,24 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Broadcast only below this many rows unless the caller proves a bound.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Counts ``limit(max_rows + 1)``, so the job stops reading once the bound is
-    exceeded instead of counting the whole table."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind a checked row bound; otherwise leave the
-    strategy to Spark (sort-merge, or AQE's runtime broadcast)."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
-
-
 def merge(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "left",
           suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
     """pandas-style equi-join (D1): key columns once, clashing non-key names
@@ -37,20 +20,18 @@ def merge(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str =
     return left.select(*lsel).join(right.select(*rsel), keys, how)
 
 
-def aligned_difference(a: DataFrame, b: DataFrame, on: str, a_col: str, b_col: str,
+def aligned_difference(a: DataFrame, b: DataFrame, on: str | Sequence[str], a_col: str, b_col: str,
                        out: str = "difference") -> DataFrame:
-    """Index-aligned ``a - b`` (D2): full outer join on ``on``; a key missing
-    on either side gives null, as pandas' aligned subtraction does."""
-    j = a.select(on, F.col(a_col).alias("_a")).join(b.select(on, F.col(b_col).alias("_b")), on, "full")
-    return j.select(on, (F.col("_a") - F.col("_b")).alias(out))
+    """Index-aligned ``a - b`` (D2): full outer join on the key columns; a key
+    missing on either side gives null, as pandas' aligned subtraction does."""
+    keys = [on] if isinstance(on, str) else list(on)
+    j = a.select(*keys, F.col(a_col).alias("_a")).join(b.select(*keys, F.col(b_col).alias("_b")), keys, "full")
+    return j.select(*keys, (F.col("_a") - F.col("_b")).alias(out))
 
 
 def convert_currency(df: DataFrame, rates: DataFrame, key: str, amount: str,
-                     rate_col: str = "rate", out: str = "amount_converted",
-                     max_rate_rows: int = 100_000) -> DataFrame:
+                     rate_col: str = "rate", out: str = "amount_converted") -> DataFrame:
     """Multiply ``amount`` by the rate looked up on ``key``.
 
-    The rate table is broadcast after its size is checked; a missing rate
-    gives a null converted amount (left join keeps the transaction)."""
-    r = maybe_broadcast(rates, max_rate_rows)
-    return df.join(r, key, "left").withColumn(out, F.col(amount) * F.col(rate_col))
+    A missing rate gives a null converted amount (left join keeps the transaction)."""
+    return df.join(rates, key, "left").withColumn(out, F.col(amount) * F.col(rate_col))

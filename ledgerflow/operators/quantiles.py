@@ -55,8 +55,15 @@ def bucket_bounds(df: DataFrame, cols: Sequence[str], buckets: int) -> dict[str,
     return {c: sorted(set(x for x in (row[c] or []) if x is not None)) for c in cols}
 
 
+# Rows per bucket aimed at, and the most buckets a bounds sketch is asked for.
+ROWS_PER_BUCKET = 1_000_000
+MAX_BUCKETS = 65_536
+
+
 def _default_buckets(df: DataFrame) -> int:
-    return max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    """Buckets from the row count, so the work of one window task does not grow
+    with the table (one column-free count; Parquet answers it from footers)."""
+    return min(MAX_BUCKETS, max(8, -(-df.count() // ROWS_PER_BUCKET)))
 
 
 def rank_spans(long: DataFrame, group: Sequence[str], value: str = "v", bucket: str = "b",
@@ -80,8 +87,7 @@ def rank_spans(long: DataFrame, group: Sequence[str], value: str = "v", bucket:
     offsets = totals.select(*group, bucket,
                             F.coalesce(F.sum("n").over(w_off), F.lit(0)).alias("start"),
                             F.sum("n").over(Window.partitionBy(*group)).alias("total"))
-    # ``offsets`` has (groups x buckets) rows; callers keep that bounded.
-    return ranked.join(F.broadcast(offsets), [*group, bucket]).select(
+    return ranked.join(offsets, [*group, bucket]).select(
         *group, value, "cnt", "total",
         (F.col("start") + F.col("cum") - F.col("cnt")).alias("first"),
         (F.col("start") + F.col("cum") - 1).alias("last"))
@@ -132,33 +138,13 @@ def approx_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         "value")
 
 
-# Up to this many rows the exact ``percentile`` aggregate is used: its
-# buffer (one entry per distinct value of a column) is then bounded.
-SMALL_EXACT_ROWS = 2_000_000
-
-
-def percentile_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """Exact quantiles with Spark's ``percentile`` aggregate (one job); only
-    for inputs proven small, since it holds every distinct value in a buffer."""
-    long = unpivot(df, cols)
-    agg = long.groupBy("column").agg(F.percentile("v", [float(q) for q in probs]).alias("qs"))
-    return agg.select("column", F.posexplode("qs").alias("i", "value")).select(
-        "column", F.element_at(F.array(*[F.lit(float(q)) for q in probs]), F.col("i") + 1).alias("prob"),
-        "value")
-
-
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
               method: str = "exact", rel_err: float = 0.05) -> DataFrame:
     """Quantiles of several columns -> ``(column, prob, value)``.
 
-    ``exact``: linear interpolation between order statistics; the single-job
-    ``percentile`` aggregate below a checked row bound, the distributed rank
-    path above it.  ``approx``: ``percentile_approx`` with ``rel_err``."""
+    ``exact``: linear interpolation between order statistics, by distributed
+    ranks at every size.  ``approx``: ``percentile_approx`` with ``rel_err``."""
     if method == "exact":
-        from ledgerflow.operators.joins import has_at_most
-
-        if has_at_most(df, SMALL_EXACT_ROWS):
-            return percentile_quantiles(df, cols, probs)
         return exact_quantiles(df, cols, probs)
     if method == "approx":
         return approx_quantiles(df, cols, probs, rel_err)

@@ -26,7 +26,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.operators.joins import maybe_broadcast
 from ledgerflow.operators.quantiles import _default_buckets, bucketize, rank_spans
 from ledgerflow.session import cut_lineage
 
@@ -135,7 +134,7 @@ def group_running(dfg: DataFrame, group: str, value: str, n: int, g: str = "_g",
     pref = part.select("_chunk", group, F.coalesce(F.sum("_n").over(wp), F.lit(0)).alias("_n0"),
                        F.coalesce(F.sum("_s").over(wp), F.lit(0)).alias("_s0"))
     w = Window.partitionBy("_chunk", group).orderBy(g).rowsBetween(Window.unboundedPreceding, 0)
-    y = x.join(maybe_broadcast(pref), ["_chunk", group], "left")
+    y = x.join(pref, ["_chunk", group], "left")
     return y.select(
         *[c for c in dfg.columns],
         (F.col("_n0") + F.row_number().over(Window.partitionBy("_chunk", group).orderBy(g))).alias(count_name),
@@ -154,7 +153,10 @@ def group_rank_desc(df: DataFrame, group: str, value: str, out: str = "rank",
     spans = rank_spans(long, [group], descending=True).select(
         F.col(group).alias("_grp"), F.col("v").alias("_v"), (F.col("first") + 1).alias(out))
     cond = F.col(group).eqNullSafe(F.col("_grp")) & (F.col(value).cast("double") == F.col("_v"))
-    return df.join(spans, cond, "left").drop("_grp", "_v")
+    # Rows without a value have no rank and stay out of the join, where they would share one key.
+    ranked = df.filter(F.col(value).isNotNull()).join(spans, cond, "left").drop("_grp", "_v")
+    nulls = df.filter(F.col(value).isNull()).withColumn(out, F.lit(None).cast(ranked.schema[out].dataType))
+    return ranked.unionByName(nulls)
 
 
 def window_features(df: DataFrame, order_by: Sequence[str], amount: str = "TransactionAmt",

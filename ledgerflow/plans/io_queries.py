@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.columns import fmt2
 from ledgerflow.operators import quality as Q
-from ledgerflow.plans.registry import register
+from ledgerflow.plans.registry import register, rounded
 from ledgerflow.sources.fixtures import load
 from ledgerflow.sources.tables import read_table
-from ledgerflow.streaming.realtime import hourly_stream, run_to_table
+from ledgerflow.streaming.realtime import (baseline, flag_stream, hourly_stream, read_parquet_stream, run_appends,
+                                            run_upserts)
 
 
 @register("a8_report_table", views=("tx_nulls",), sql="""
@@ -44,12 +43,29 @@ def a9_quality_json(spark, sf_dir):
     return rep.select(F.to_json(F.struct(*rep.columns)).alias("json"))
 
 
-@register("x3_stream_hourly")
+def _event_stream(spark, sf_dir):
+    schema = read_table(spark, sf_dir, "events").schema
+    return read_parquet_stream(spark, f"{sf_dir.rstrip('/')}/events*.parquet", schema)
+
+
+@register("x3_stream_hourly", sql="""
+SELECT date_trunc('hour', CAST(ts AS TIMESTAMP)) AS sample_datetime, round(avg(value), 6) AS value_mean,
+       round(sum(value), 6) AS value_sum, count(DISTINCT event_type) AS event_type_nunique
+FROM events GROUP BY 1""")
 def x3_stream_hourly(spark, sf_dir):
     """The hourly aggregate of the card events computed by a Structured
-    Streaming query (watermark, event-time windows) run to completion."""
-    schema = read_table(spark, sf_dir, "events").schema
-    base = sf_dir.rstrip("/")
-    src = spark.readStream.schema(schema).option("basePath", base).parquet(f"{base}/events*.parquet")
-    out = hourly_stream(src, "ts", "value", "event_type")
-    return run_to_table(out, f"x3_hourly_{uuid.uuid4().hex[:8]}", mode="update")
+    Streaming query (watermark of a day, event-time windows) run to completion."""
+    out = hourly_stream(_event_stream(spark, sf_dir), "ts", "value", "event_type", delay="1 day")
+    return rounded(run_upserts(out, ["sample_datetime"]))
+
+
+@register("x3_stream_flags", sql="""
+WITH b AS (SELECT event_type, avg(value) AS m, stddev_pop(value) AS s FROM events GROUP BY event_type)
+SELECT event_id, CASE WHEN abs((value - m) / s) > 2 THEN 1 ELSE 0 END AS anomaly_score
+FROM events JOIN b USING (event_type)""")
+def x3_stream_flags(spark, sf_dir):
+    """Events flagged on a stream by their distance from the type's mean
+    (more than two standard deviations), against a batch baseline."""
+    base = baseline(read_table(spark, sf_dir, "events"), "event_type", "value")
+    flags = flag_stream(_event_stream(spark, sf_dir), base, "event_type", "value", threshold=2.0)
+    return run_appends(flags.select("event_id", "anomaly_score"))

@@ -107,17 +107,18 @@ def m4_kmeans_fixed(spark, sf_dir):
 def m4_kmeans_fitted(spark, sf_dir):
     """M4: MLlib k-means (k=3) on the standardised PCA features; flags the
     farthest 5 % from their centre."""
-    out = kmeans_distance(_pca_std(spark, sf_dir), PCA_FEATURES, None, k=3, seed=42)
-    return out.select("time", "cluster", "distance_from_centroid", "anomaly_score")
+    s = standardize(pca_projection(load(spark, sf_dir, "tx_pca")), PCA_FEATURES, keep=["time", "amount"], suffix="_z")
+    out = kmeans_distance(s, [f"{c}_z" for c in PCA_FEATURES], None, k=3, seed=42)
+    return out.select("time", "amount", "cluster", "distance_from_centroid", "anomaly_score")
 
 
 @register("m3_isolation_forest")
 def m3_isolation_forest(spark, sf_dir):
     """M3/M5: isolation forest (100 trees x 256 rows) on the standardised
     card features, 3.5 % contamination."""
-    s = standardize(merged(spark, sf_dir), CARD_FEATURES, keep=["TransactionID", "day"])
-    out = isolation_forest(s, CARD_FEATURES, "TransactionID", contamination=0.035)
-    return out.select("TransactionID", "day", "iso_score", "anomaly_score")
+    s = standardize(merged(spark, sf_dir), CARD_FEATURES, keep=["TransactionID", "day", "TransactionAmt"], suffix="_z")
+    out = isolation_forest(s, [f"{c}_z" for c in CARD_FEATURES], "TransactionID", contamination=0.035)
+    return out.select("TransactionID", "TransactionAmt", "day", "iso_score", "anomaly_score")
 
 
 @register("l1_feature_importance")

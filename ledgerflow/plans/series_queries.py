@@ -141,32 +141,5 @@ def k9_qq_points(spark, sf_dir):
 def d2_observed_minus_trend(spark, sf_dir):
     """Index-aligned subtraction (full outer join on series and day) of
     the trend from the observed series."""
-    dec = decompose(order_counts(spark, sf_dir), 7)
-    obs = dec.select(F.concat_ws("|", "series", F.col("day").cast("string")).alias("k"), "series", "day", "value")
-    tr = dec.select(F.concat_ws("|", "series", F.col("day").cast("string")).alias("k"), "trend")
-    d = aligned_difference(obs, tr, "k", "value", "trend")
-    return rounded(d.join(obs.select("k", "series", "day"), "k").select("series", "day", "difference"))
-
-
-@register("k4_arima_search_card")
-def k4_arima_search_card(spark, sf_dir):
-    """K4/K7: every candidate seasonal order (m=7) fitted to the daily fraud
-    rate in parallel, with AIC/BIC/HQIC, log-likelihood and coefficients."""
-    from ledgerflow.operators.arima import order_search
-    return order_search(card_rate(spark, sf_dir))
-
-
-@register("k4_arima_best_orders")
-def k4_arima_best_orders(spark, sf_dir):
-    """K4: minimum-AIC seasonal order for each of five daily series."""
-    from ledgerflow.operators.arima import best_orders, order_search
-    return best_orders(order_search(order_counts(spark, sf_dir)))
-
-
-@register("k5_arima_forecast")
-def k5_arima_forecast(spark, sf_dir):
-    """K5/K6: 30-day forecast with 95 % bounds and in-sample fitted values of
-    the daily fraud rate under its chosen model."""
-    from ledgerflow.operators.arima import best_orders, forecast_series, order_search
-    s = card_rate(spark, sf_dir)
-    return forecast_series(s, best_orders(order_search(s)), 30)
+    counts = order_counts(spark, sf_dir)
+    return rounded(aligned_difference(counts, decompose(counts, 7), ["series", "day"], "value", "trend"))

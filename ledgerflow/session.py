@@ -50,11 +50,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     for k, v in conf.items():
-        if not k.startswith("spark.driver") and not k.startswith("spark.ui"):
-            try:
-                spark.conf.set(k, v)
-            except Exception:  # static conf on an existing session
-                pass
+        if spark.conf.isModifiable(k):  # the others hold from the start of the session
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     ship_package(spark)
@@ -127,11 +124,10 @@ def prepare(spark: SparkSession) -> None:
     ship the package to the Python workers."""
     ship_package(spark)
     for k, v in BASE_CONF.items():
-        try:
-            if spark.conf.get(k, None) != v:
-                spark.conf.set(k, v)
-        except Exception:  # static conf
-            pass
+        if spark.conf.isModifiable(k) and spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        raise RuntimeError("the session time zone must be UTC")
 
 
 def cpu_partitions(spark: SparkSession, groups: int | None = None) -> int:

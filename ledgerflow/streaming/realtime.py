@@ -3,19 +3,26 @@
 The reference only recommends real-time detection.  Here the batch hourly
 aggregate (E4a) and the z-score rule (M2) run on a stream:
 
-* ``hourly_stream``: event-time hourly windows with a watermark, so state for
-  an hour is dropped once the watermark passes it and late rows within the
-  allowed delay still count; distinct types are an exact ``collect_set`` size
-  (the set per hour is small), since distinct aggregates are not allowed on
-  streams;
-* ``flag_stream``: a stream-static join against a small baseline table of
-  per-type mean/std (one row per type, broadcast), flagging ``|z| > 3``.
+* ``hourly_stream``: event-time hourly windows with a watermark: state for an
+  hour is kept until the watermark (the latest event time less ``delay``) passes
+  its end, so rows that are late by at most ``delay`` count, later ones do not.
+  ``delay`` is the price in state and the bound on lateness; choose it for the
+  source.  Distinct types use ``approx_count_distinct``, whose state has a fixed
+  size (exact for a handful of types).
+* ``flag_stream``: a stream-static join against a baseline table of per-type
+  mean/std, flagging ``|z| > 3``.
+
+Sinks are Parquet folders in the shared checkpoint folder.  Updated windows are
+written per micro-batch under the batch's number (a repeated batch overwrites
+its own folder), and the newest row of a window is its result.
 
 Watermarks need a TIMESTAMP column; NTZ timestamps are cast first.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -27,32 +34,53 @@ def hourly_stream(events: DataFrame, ts: str, amount: str, type_col: str, delay:
     e = events.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", delay)
     g = e.groupBy(F.window("_ts", "1 hour").alias("w")).agg(
         F.avg(amount).alias(f"{amount}_mean"), F.sum(amount).alias(f"{amount}_sum"),
-        F.size(F.collect_set(type_col)).cast("long").alias(f"{type_col}_nunique"))
+        F.approx_count_distinct(type_col, 0.01).alias(f"{type_col}_nunique"))
     return g.select(F.col("w.start").cast("timestamp_ntz").alias("sample_datetime"), f"{amount}_mean",
                     f"{amount}_sum", f"{type_col}_nunique")
 
 
 def baseline(history: DataFrame, type_col: str, amount: str) -> DataFrame:
-    """Per-type mean and population std from a batch history (small table)."""
+    """Per-type mean and population std from a batch history (one row per type)."""
     return history.groupBy(type_col).agg(F.avg(amount).alias("_mean"), F.stddev_pop(amount).alias("_std"))
 
 
 def flag_stream(events: DataFrame, base: DataFrame, type_col: str, amount: str, threshold: float = 3.0) -> DataFrame:
     z = (F.col(amount) - F.col("_mean")) / F.col("_std")
-    j = events.join(F.broadcast(base), type_col, "left")  # one row per type
-    return j.withColumn("anomaly_score", F.coalesce(F.abs(z) > threshold, F.lit(False)).cast("int")).drop(
-        "_mean", "_std")
+    j = events.join(base, type_col, "left")
+    return j.withColumn("anomaly_score", F.coalesce(F.abs(z) > threshold, F.lit(False)).cast("int")).drop("_mean", "_std")
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def run_upserts(stream: DataFrame, keys: list[str], folder: str | None = None) -> DataFrame:
+    """Drive an aggregating stream over everything available and return its newest
+    row per key."""
+    spark = stream.sparkSession
+    folder = folder or _folder(spark, "stream-upserts")
+    schema = StructType(stream.schema.fields)
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.withColumn("_batch", F.lit(number).cast("long")).write.mode("overwrite").parquet(f"{folder}/out/batch={number}")
+
+    q = (stream.writeStream.foreachBatch(write).outputMode("update")
+         .option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start())
+    q.awaitTermination()
+    rows = spark.read.schema(schema.add("_batch", "long")).parquet(f"{folder}/out/batch=*")
+    rest = [c for c in stream.columns if c not in keys]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "_batch").alias("_r"))
+    return newest.select(*keys, "_r.*").select(*stream.columns)
 
 
-def run_to_table(stream: DataFrame, name: str, mode: str = "update", checkpoint: str | None = None) -> DataFrame:
-    """Drive a stream over everything available (``availableNow``) into an
-    in-memory table and return it; the checkpoint goes to the shared folder."""
+def run_appends(stream: DataFrame, folder: str | None = None) -> DataFrame:
+    """Drive a stateless stream over everything available into a Parquet folder and return it."""
     spark = stream.sparkSession
-    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{name}"
-    q = (stream.writeStream.format("memory").queryName(name).outputMode(mode)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    folder = folder or _folder(spark, "stream-appends")
+    q = (stream.writeStream.format("parquet").outputMode("append").option("path", f"{folder}/out")
+         .option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.table(name)
+    return spark.read.schema(stream.schema).parquet(f"{folder}/out")
 
 
 def read_parquet_stream(spark: SparkSession, path: str, schema: StructType, max_files: int = 1) -> DataFrame:

@@ -6,7 +6,6 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from ledgerflow.operators.anomaly import isolation_forest, kmeans_distance
-from ledgerflow.operators.arima import best_orders, candidate_orders, fit_css, order_search
 from ledgerflow.operators.sampling import sample_sizes, stratified_sample
 from ledgerflow.operators.series import _levinson_durbin, acf, decompose, pacf
 
@@ -40,17 +39,6 @@ def test_acf_pacf_against_numpy(spark):
     assert abs(_levinson_durbin(r)[1] - r[1]) < 1e-12
 
 
-def test_arima_recovers_ma1(spark):
-    rng = np.random.default_rng(0)
-    e = rng.normal(0, 1, 301)
-    y = 5 + e[1:] + 0.6 * e[:-1]
-    fit = fit_css(y, (0, 0, 1, 0, 0, 0))
-    assert abs(fit["ma"][0] - 0.6) < 0.15
-    orders = [o for o in candidate_orders() if o[1] == 0 and o[3] == 0 and o[5] == 0]
-    best = best_orders(order_search(_series_df(spark, "a", y), orders)).first()
-    assert (best["p"], best["q"]) in {(0, 1), (1, 1), (0, 2)}
-
-
 def test_stratified_sizes_exact(spark):
     rows = [(i, 1 if i % 10 == 0 else 0) for i in range(5000)]
     df = spark.createDataFrame(rows, "id long, y int")
@@ -75,3 +63,33 @@ def test_kmeans_fixed_centres(spark):
     out = kmeans_distance(df, ["a", "b"], centres=[[0.0, 0.0], [10.0, 0.0]]).orderBy("b", "a").collect()
     assert [r["cluster"] for r in out] == [0, 1, 0, 1, 0]
     assert out[-1]["anomaly_score"] == 1 and sum(r["anomaly_score"] for r in out) == 1
+
+
+def test_tree_draws_hold_at_any_size(spark):
+    from ledgerflow.operators.anomaly import tree_draws
+
+    for n in (0, 1, 100, 38_400, 10**9, 10**13):
+        rounds, per_round, p = tree_draws(n, 100, 256)
+        assert p > 0 and rounds * per_round >= 100 and per_round * p <= 1.0 + 1e-12
+        if n >= 10**9:
+            assert rounds == 1 and abs(p * n - 384) < 1e-3
+
+
+def test_isolation_forest_flags_the_share_and_keeps_rows(spark):
+    rows = spark.range(0, 4000).select("id", F.col("id").cast("string").alias("name"), F.rand(3).alias("a"),
+                                       F.when(F.col("id") % 100 == 0, F.lit(50.0)).otherwise(F.rand(4)).alias("b"))
+    out = isolation_forest(rows, ["a", "b"], "id", n_trees=30, contamination=0.035)
+    assert out.columns == ["id", "name", "a", "b", "iso_score", "anomaly_score"]
+    got = out.groupBy("anomaly_score").count().collect()
+    assert abs({r["anomaly_score"]: r["count"] for r in got}[1] - 140) <= 1
+    assert out.where("b > 10 and anomaly_score = 0").count() == 0
+    assert isolation_forest(rows.limit(0), ["a", "b"], "id", n_trees=3).count() == 0
+
+
+def test_aligned_difference_of_unequal_days(spark):
+    from ledgerflow.operators.joins import aligned_difference
+
+    a = _series_df(spark, "s", [1.0, 2.0, 3.0])
+    b = _series_df(spark, "s", [1.0, 1.0, 1.0], start=dt.date(2024, 1, 2)).withColumnRenamed("value", "v")
+    got = {r["day"].day: r["difference"] for r in aligned_difference(a, b, ["series", "day"], "value", "v").collect()}
+    assert got == {1: None, 2: 1.0, 3: 2.0, 4: None}

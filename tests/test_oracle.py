@@ -8,10 +8,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from ledgerflow.plans import catalog
 from ledgerflow.sources.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
-ORACLE = entry.oracle_sql()
+ORACLE = catalog.ORACLE
 
 
 def _norm(v):
