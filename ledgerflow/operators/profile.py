@@ -143,8 +143,7 @@ def histogram(df: DataFrame, cols: Sequence[str], label: str, bins: int = 20) ->
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])).alias("_s")) \
         .select("label", "_s.column", "_s.v").filter(F.col("v").isNotNull() & ~F.isnan("v"))
     rng = long.groupBy("column", "label").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    # (columns x labels) rows: bounded.
-    x = long.join(F.broadcast(rng), ["column", "label"])
+    x = long.join(rng, ["column", "label"])
     width = (F.col("hi") - F.col("lo")) / bins
     b = F.when(F.col("hi") == F.col("lo"), F.lit(1)).otherwise(
         F.least(F.floor((F.col("v") - F.col("lo")) / width).cast("int") + 1, F.lit(bins)))
@@ -156,30 +155,38 @@ def histogram(df: DataFrame, cols: Sequence[str], label: str, bins: int = 20) ->
         (F.col("lo") + F.col("bin") * w).alias("upper"), F.coalesce("count", F.lit(0)).alias("count"))
 
 
-def kde(df: DataFrame, cols: Sequence[str], label: str, grid: int = 200, cut: float = 3.0,
+def kde(df: DataFrame, cols: Sequence[str], label: str, grid: int = 200, cut: float = 0.0, method: str = "exact",
         prebins: int = 4096) -> DataFrame:
     """Gaussian kernel density per (column, label) on a ``grid``-point
-    support from ``min - cut*h`` to ``max + cut*h``, Scott's bandwidth
-    ``h = std * n^(-1/5)``.  Values are first binned to ``prebins`` weighted
-    points per group (a partial aggregate), so the kernel sum costs
-    ``prebins x grid`` per group whatever the row count."""
+    support from ``min - cut*h`` to ``max + cut*h`` (0: the data's own range, as a
+    histogram overlay draws it), Scott's bandwidth ``h = std * n^(-1/5)``.
+
+    ``exact`` sums the kernel over the distinct values, weighted by their counts
+    (a partial aggregate first); ``binned`` first replaces the values by the means
+    of ``prebins`` equal bins per group, which bounds the cost per group at
+    ``prebins x grid`` and is an approximation."""
+    if method not in ("exact", "binned"):
+        raise ValueError(f"unknown method {method!r}")
     long = df.select(F.col(label).alias("label"), F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])).alias("_s")) \
         .select("label", "_s.column", "_s.v").filter(F.col("v").isNotNull() & ~F.isnan("v"))
     st = long.groupBy("column", "label").agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("v").alias("sd"),
                                              F.min("v").alias("lo"), F.max("v").alias("hi"))
     st = st.withColumn("h", F.col("sd") * F.pow(F.col("n").cast("double"), -0.2)).filter(F.col("h") > 0)
-    bw = (F.col("hi") - F.col("lo")) / prebins
-    binned = long.join(F.broadcast(st), ["column", "label"]).withColumn(
-        "_k", F.least(F.floor((F.col("v") - F.col("lo")) / bw), F.lit(prebins - 1)))
-    pts = binned.groupBy("column", "label", "_k").agg(F.count(F.lit(1)).alias("w"), F.avg("v").alias("x"))
-    g = st.select("column", "label", "n", "h",
-                  F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("gi"),
-                  (F.col("lo") - cut * F.col("h")).alias("g0"),
-                  ((F.col("hi") - F.col("lo") + 2 * cut * F.col("h")) / (grid - 1)).alias("gs"))
-    g = g.withColumn("g", F.col("g0") + F.col("gi") * F.col("gs")).drop("g0", "gs")
-    j = pts.join(g, ["column", "label"])
+    if method == "exact":
+        pts = long.groupBy("column", "label", F.col("v").alias("x")).agg(F.count(F.lit(1)).alias("w"))
+    else:
+        bw = (F.col("hi") - F.col("lo")) / prebins
+        binned = long.join(st, ["column", "label"]).withColumn(
+            "_k", F.least(F.floor((F.col("v") - F.col("lo")) / bw), F.lit(prebins - 1)))
+        pts = binned.groupBy("column", "label", "_k").agg(F.count(F.lit(1)).alias("w"), F.avg("v").alias("x"))
+    step = (F.col("hi") - F.col("lo") + 2 * cut * F.col("h")) / (grid - 1)
+    j = pts.join(st, ["column", "label"]).select(
+        "column", "label", "n", "h", "w", "x", (F.col("lo") - cut * F.col("h")).alias("g0"), step.alias("gs"),
+        F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"))
+    j = j.withColumn("g", F.col("g0") + F.col("point") * F.col("gs"))
     z = (F.col("g") - F.col("x")) / F.col("h")
-    dens = j.groupBy("column", "label", "gi", "g").agg(
-        (F.sum(F.col("w") * F.exp(-0.5 * z * z)) / (F.first("n") * F.first("h") * math.sqrt(2 * math.pi))).alias("density"))
-    return dens.select("column", "label", F.col("gi").alias("point"), F.col("g").alias("x"), "density")
+    dens = j.groupBy("column", "label", "point").agg(
+        F.first("g").alias("x"), F.first("n").alias("n"), F.first("h").alias("h"),
+        F.sum(F.col("w") * F.exp(-0.5 * z * z)).alias("k"))
+    return dens.select("column", "label", "point", "x", (F.col("k") / (F.col("n") * F.col("h") * math.sqrt(2 * math.pi))).alias("density"))

@@ -140,6 +140,17 @@ def e1_agg_by_second(spark, sf_dir):
     return aggregate(pca(spark, sf_dir), ["sample_datetime"], SECOND_FUNCS)
 
 
+@register("e2_agg_by_instant_mobile", views=("tx_mobile",), sql=f"""
+WITH {_MOBILE_TS}
+SELECT sample_datetime, min(amount) AS amount_min, max(amount) AS amount_max, {sql_mean('amount')} AS amount_avg,
+       CAST(sum(isFraud) AS BIGINT) AS isFraud_sum, count(isFraud) AS isFraud_count
+FROM mobile GROUP BY sample_datetime""")
+def e2_agg_by_instant_mobile(spark, sf_dir):
+    """The aggregate keyed by the exact instant, with many rows to most of them."""
+    funcs = {"amount": [F.min, F.max, cents_avg], "isFraud": [F.sum, F.count]}
+    return aggregate(mobile(spark, sf_dir), ["sample_datetime"], funcs)
+
+
 @register("e3_agg_date_hour", views=("tx_pca",), sql=f"""
 WITH {_PCA_TS}
 SELECT CAST(sample_datetime AS DATE) AS date, CAST(hour(sample_datetime) AS INTEGER) AS hour,

@@ -131,8 +131,8 @@ def l1_feature_importance(spark, sf_dir):
 
 @register("l2_top_features")
 def l2_top_features(spark, sf_dir):
-    """L2: the frame reduced to the 20 most important features plus the
+    """L2: the frame reduced to its 10 most important features (of 17) plus the
     timestamp and the label."""
     f = fraud_features(spark, sf_dir)
-    top = top_features(feature_importance(f, "isFraud", feature_columns(f, ["isFraud", "TransactionID"])), 20)
+    top = top_features(feature_importance(f, "isFraud", feature_columns(f, ["isFraud", "TransactionID"])), 10)
     return f.select(*top, "sample_datetime", "isFraud")

@@ -11,7 +11,7 @@ from ledgerflow.operators import profile as P
 from ledgerflow.operators.sampling import (partition_sizes, range_partition, sample_sizes,
                                            simple_sample, stratified_sample, top_k)
 from ledgerflow.plans.agg_queries import _CARD_TS, _MOBILE_TS, card, mobile
-from ledgerflow.plans.quality_queries import NULLS_COLS, _PCA
+from ledgerflow.plans.quality_queries import NULLS_COLS, PCA_NUM, _PCA
 from ledgerflow.plans.registry import register, rounded
 from ledgerflow.sources.fixtures import load
 
@@ -21,8 +21,7 @@ PROFILE_COLUMNS = ["type", "amount", "oldbalanceOrg", "newbalanceOrig", "oldbala
 PROFILE_NUMERIC = ["amount", "oldbalanceOrg", "newbalanceOrig", "oldbalanceDest", "newbalanceDest",
                    "isFraud", "isFlaggedFraud"]
 PROFILE_CATEGORICAL = ["type", "transaction_type"]
-CORR_COLS = ["v1", "v2", "v3", "v4", "v5", "amount"]
-HIST_COLS = ["TransactionAmt", "card1"]
+HIST_COLS = ["TransactionID", "TransactionDT", "TransactionAmt", "card1"]  # every numeric column but the label
 
 
 def _union(selects):
@@ -127,12 +126,16 @@ def p4_timestamp_profile(spark, sf_dir):
     return P.timestamp_profile(mobile(spark, sf_dir), ["sample_datetime"])
 
 
-@register("p5_correlations", views=("tx_pca",), sql=f"WITH {_PCA}\nSELECT * FROM (" + _union(
-    [f"SELECT '{a}' AS column_a, '{b}' AS column_b, round(corr({a}, {b}), 6) AS pearson FROM pca"
-     for i, a in enumerate(CORR_COLS) for b in CORR_COLS[i + 1:]]) + ")")
+_CORR = [(a, b) for i, a in enumerate(PCA_NUM) for b in PCA_NUM[i + 1:]]
+
+
+@register("p5_correlations", views=("tx_pca",), sql=f"""WITH {_PCA}
+SELECT column_a, column_b, CASE WHEN isnan(r) THEN NULL ELSE round(r, 6) END AS pearson FROM (
+SELECT unnest([{", ".join(f"'{a}'" for a, _ in _CORR)}]) AS column_a, unnest([{", ".join(f"'{b}'" for _, b in _CORR)}]) AS column_b,
+       unnest([{", ".join(f"corr({a}, {b})" for a, b in _CORR)}]) AS r FROM pca)""")
 def p5_correlations(spark, sf_dir):
-    """P5: Pearson correlation of every column pair in one aggregate."""
-    return rounded(P.correlations(pca_projection(load(spark, sf_dir, "tx_pca")), CORR_COLS))
+    """P5: Pearson correlation of every pair of the 31 columns in one aggregate."""
+    return rounded(P.correlations(pca_projection(load(spark, sf_dir, "tx_pca")), PCA_NUM))
 
 
 @register("p6_missing_patterns", views=("tx_nulls",), sql="""
@@ -163,7 +166,20 @@ def j1_histogram(spark, sf_dir):
     return rounded(P.histogram(load(spark, sf_dir, "tx_card"), HIST_COLS, "isFraud", 20), ["lower", "upper"])
 
 
-@register("j2_kde")
+def _kde_sql():
+    long = _union([f"SELECT isFraud AS label, '{c}' AS \"column\", CAST({c} AS DOUBLE) AS v FROM tx_card "
+                   f"WHERE {c} IS NOT NULL" for c in HIST_COLS])
+    return f"""WITH l AS ({long}),
+r AS (SELECT "column", label, count(*) AS n, min(v) AS lo, max(v) AS hi, stddev_samp(v) * pow(count(*), -0.2) AS h FROM l GROUP BY 1, 2),
+g AS (SELECT *, unnest(range(0, 200)) AS point FROM r WHERE h > 0),
+d AS (SELECT "column", label, v, count(*) AS w FROM l GROUP BY ALL)
+SELECT "column", label, CAST(point AS INTEGER) AS point, round(any_value(lo + point * ((hi - lo) / 199)), 6) AS x,
+       round(sum(w * exp(-0.5 * pow((lo + point * ((hi - lo) / 199) - v) / h, 2))) / (any_value(n) * any_value(h) * sqrt(2 * pi())), 6) AS density
+FROM g JOIN d USING ("column", label) GROUP BY "column", label, point"""
+
+
+@register("j2_kde", views=("tx_card",), sql=_kde_sql())
 def j2_kde(spark, sf_dir):
-    """Gaussian KDE curves (Scott bandwidth, 200 points) per feature and label."""
-    return P.kde(load(spark, sf_dir, "tx_card"), HIST_COLS, "isFraud")
+    """Exact Gaussian KDE curves (Scott bandwidth, 200 points over the data's
+    range) of every numeric column per label."""
+    return rounded(P.kde(load(spark, sf_dir, "tx_card"), HIST_COLS, "isFraud"), ["x", "density"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerflow.functions.columns import (PCA_COLUMNS, narrow_plan, pca_projection,
+from ledgerflow.functions.columns import (PCA_COLUMNS, narrow_plan, narrow_schema, pca_projection,
                                           transaction_type)
 from ledgerflow.functions.timecols import add_sample_datetime, add_time_parts, future_days
 from ledgerflow.operators import quality as Q
@@ -75,7 +75,7 @@ def b13_fill_missing(spark, sf_dir):
     return Q.fill_missing(load(spark, sf_dir, "tx_nulls"), 0)
 
 
-_DESCRIBE_COLS = ["TransactionAmt", "TransactionDT", "card1"]
+_DESCRIBE_COLS = ["TransactionID", "TransactionDT", "TransactionAmt", "isFraud", "card1"]  # every numeric column
 
 
 @register("e13_describe", views=("tx_card",), sql="SELECT \"column\", statistic, round(value, 6) AS value FROM (" + _union(
@@ -161,15 +161,24 @@ def e20_iqr_outliers(spark, sf_dir):
     return rounded(Q.iqr_outliers(pca_projection(load(spark, sf_dir, "tx_pca")), PCA_NUM))
 
 
+def _types_sql(view_cols):
+    """Rows ``(column, dtype)`` as text: the types are those of the Spark view."""
+    return ", ".join(f"('{c}', '{t}')" for c, t in view_cols)
+
+
+NULLS_TYPES = (("TransactionID", "bigint"), ("TransactionDT", "bigint"), ("TransactionAmt", "double"),
+               ("isFraud", "int"), ("card1", "bigint"), ("ProductCD", "string"))
+
+
 @register("e24_quality_summary", views=("tx_nulls",), sql="SELECT * FROM (" + _union(
     [f"SELECT 'missing_values' AS section, '{c}' AS \"column\", "
      f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS VARCHAR) AS value FROM tx_nulls" for c in NULLS_COLS]
     + ["""SELECT 'duplicate_rows', NULL, CAST((SELECT count(*) FROM tx_nulls)
-          - (SELECT count(*) FROM (SELECT DISTINCT * FROM tx_nulls)) AS VARCHAR)"""]) + ")")
+          - (SELECT count(*) FROM (SELECT DISTINCT * FROM tx_nulls)) AS VARCHAR)""",
+       f"SELECT 'data_types', * FROM (VALUES {_types_sql(NULLS_TYPES)}) AS t(c, v)"]) + ")")
 def e24_quality_summary(spark, sf_dir):
-    """Missing values and duplicate rows of the quality summary."""
-    s = Q.quality_summary(load(spark, sf_dir, "tx_nulls"))
-    return s.filter(F.col("section") != "data_types")
+    """Missing values, duplicate rows and types of the quality summary."""
+    return Q.quality_summary(load(spark, sf_dir, "tx_nulls"))
 
 
 def _report_sql():
@@ -197,10 +206,49 @@ def e25_quality_report(spark, sf_dir):
     return rounded(Q.quality_report(pca_projection(load(spark, sf_dir, "tx_pca")), include_types=False))
 
 
-@register("e23_data_types")
+def _mobile_report_sql():
+    num, cat = MOBILE_REPORT_NUM, MOBILE_REPORT_CAT
+    cols = num + cat
+    parts = [f"SELECT 'missing_values' AS section, '{c}' AS \"column\", 'count' AS metric, "
+             f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS text FROM t" for c in cols]
+    parts.append("SELECT 'duplicates', '*', 'count', CAST((SELECT count(*) FROM t) - (SELECT count(*) FROM (SELECT DISTINCT * FROM t)) AS DOUBLE), NULL")
+    parts += [f"SELECT 'unique_values', '{c}', 'count', CAST(count(DISTINCT {c}) AS DOUBLE), NULL FROM t" for c in cols]
+    parts += [f"SELECT 'numeric_summary', '{c}', unnest(['count', 'mean', 'stddev', 'min', 'max']), unnest([CAST(count(x) AS DOUBLE), "
+              f"round(avg(x), 3), round(stddev_samp(x), 3), min(x), max(x)]), NULL FROM (SELECT CAST({c} AS DOUBLE) AS x FROM t)" for c in num]
+    parts.append("SELECT 'outliers', \"column\", 'count', CAST(outliers AS DOUBLE), NULL FROM (" + _iqr_sql(num, "t") + ")")
+    parts += [f"SELECT 'most_frequent', '{c}', 'mode', CAST(n AS DOUBLE), v FROM (SELECT CAST({c} AS VARCHAR) AS v, count(*) AS n FROM t "
+              f"GROUP BY 1 ORDER BY n DESC, v ASC NULLS FIRST LIMIT 1)" for c in cat]
+    parts.append("SELECT 'data_types', c, 'dtype', NULL, v FROM (VALUES " + _types_sql(MOBILE_REPORT_TYPES) + ") AS x(c, v)")
+    return f"WITH t AS (SELECT {', '.join(cols)} FROM tx_mobile)\n" + _union(parts)
+
+
+MOBILE_REPORT_NUM = ["step", "amount", "oldbalanceOrg", "newbalanceOrig", "isFraud"]
+MOBILE_REPORT_CAT = ["type", "nameOrig"]
+MOBILE_REPORT_TYPES = (("step", "int"), ("amount", "double"), ("oldbalanceOrg", "double"), ("newbalanceOrig", "double"),
+                       ("isFraud", "int"), ("type", "string"), ("nameOrig", "string"))
+
+
+@register("e25_quality_report_mobile", views=("tx_mobile",), sql=_mobile_report_sql())
+def e25_quality_report_mobile(spark, sf_dir):
+    """The quality report of the mobile transactions with types, modes and
+    outliers (the largest table, with categorical columns)."""
+    rep = Q.quality_report(load(spark, sf_dir, "tx_mobile").select(*MOBILE_REPORT_NUM, *MOBILE_REPORT_CAT))
+    summary = (F.col("section") == "numeric_summary") & F.col("metric").isin("mean", "stddev")
+    return rep.withColumn("value", F.when(summary, F.round("value", 3)).otherwise(F.col("value")))
+
+
+@register("e23_data_types", views=("tx_card", "tx_identity"), sql="""
+WITH m AS (SELECT * FROM tx_card LEFT JOIN tx_identity USING (TransactionID))
+SELECT c AS "column", t AS dtype, n AS present FROM (SELECT
+  unnest(['TransactionID', 'TransactionDT', 'TransactionAmt', 'isFraud', 'card1', 'ProductCD', 'id_01', 'id_02']) AS c,
+  unnest(['bigint', 'bigint', 'double', 'int', 'bigint', 'string', 'bigint', 'int']) AS t,
+  unnest([count(TransactionID), count(TransactionDT), count(TransactionAmt), count(isFraud), count(card1), count(ProductCD), count(id_01), count(id_02)]) AS n
+  FROM m)""")
 def e23_data_types(spark, sf_dir):
-    """Column types of the merged card table (schema metadata)."""
-    return Q.data_types(merge(load(spark, sf_dir, "tx_card"), load(spark, sf_dir, "tx_identity"), "TransactionID"))
+    """Type and number of present values of every column of the merged card table."""
+    m = merge(load(spark, sf_dir, "tx_card"), load(spark, sf_dir, "tx_identity"), "TransactionID")
+    present = Q.null_counts(m).crossJoin(m.agg(F.count(F.lit(1)).alias("n"))).select("column", (F.col("n") - F.col("missing")).alias("present"))
+    return Q.data_types(m).join(present, "column")
 
 
 _RULE_FAIL = ", ".join(f"count(*) FILTER (WHERE NOT coalesce({e}, false)) AS {n}" for n, e in RULES_SQL.items())
@@ -258,6 +306,15 @@ def _narrow_sql():
     return "SELECT * FROM (" + _union(parts) + ") WHERE dtype IS NOT NULL"
 
 
+@register("b16_narrow_frame", views=("tx_card", "tx_identity"), sql="""
+SELECT TransactionID, TransactionDT, CAST(TransactionAmt AS FLOAT) AS TransactionAmt, isFraud, card1, ProductCD, id_01, id_02
+FROM tx_card LEFT JOIN tx_identity USING (TransactionID)""")
+def b16_narrow_frame(spark, sf_dir):
+    """The merged frame after narrowing its numeric types."""
+    m = merge(load(spark, sf_dir, "tx_card"), load(spark, sf_dir, "tx_identity"), "TransactionID")
+    return narrow_schema(m)
+
+
 @register("b16_narrow_plan", views=("tx_card",), sql=_narrow_sql())
 def b16_narrow_plan(spark, sf_dir):
     """Smallest type per numeric column, chosen in one aggregate pass."""

@@ -25,7 +25,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ledgerflow.session import ensure_checkpoint_dir
 
@@ -59,7 +59,7 @@ def run_upserts(stream: DataFrame, keys: list[str], folder: str | None = None) -
     row per key."""
     spark = stream.sparkSession
     folder = folder or _folder(spark, "stream-upserts")
-    schema = StructType(stream.schema.fields)
+    schema = StructType([*stream.schema.fields, StructField("_batch", LongType())])
 
     def write(batch: DataFrame, number: int) -> None:
         batch.withColumn("_batch", F.lit(number).cast("long")).write.mode("overwrite").parquet(f"{folder}/out/batch={number}")
@@ -67,7 +67,7 @@ def run_upserts(stream: DataFrame, keys: list[str], folder: str | None = None) -
     q = (stream.writeStream.foreachBatch(write).outputMode("update")
          .option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start())
     q.awaitTermination()
-    rows = spark.read.schema(schema.add("_batch", "long")).parquet(f"{folder}/out/batch=*")
+    rows = spark.read.schema(schema).parquet(f"{folder}/out/batch=*")
     rest = [c for c in stream.columns if c not in keys]
     newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "_batch").alias("_r"))
     return newest.select(*keys, "_r.*").select(*stream.columns)
