@@ -32,7 +32,7 @@ DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 SLICE_ROWS = 256
 
 __all__ = ["WORD", "DOCUMENT_COLUMNS", "SLICE_ROWS", "read_table", "shared_table", "fold", "map_rows",
-           "filter_rows", "setup", "python_tasks", "near_share"]
+           "filter_rows", "setup", "near_share"]
 
 
 def setup(spark: SparkSession) -> None:
@@ -64,11 +64,6 @@ def near_share(id_col: str, salt: str, share: float) -> Column:
     return h < F.lit(int(share * 1_000_003) + 1)
 
 
-def python_tasks(spark: SparkSession) -> int:
-    """Tasks for a Python stage over a small table, so that it is not left to one core."""
-    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-
-
 def map_rows(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], schema: str,
              start: Callable[[], object] | None = None) -> DataFrame:
     """Apply ``fn`` to slices of rows inside Arrow batches.
