@@ -13,6 +13,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Rows aimed at in the one bucket per stratum that is ranked.
+ROWS_PER_BUCKET = 100_000
+
+
 def _hash_rank(key: str, seed: int):
     return F.xxhash64(F.col(key), F.lit(seed))
 
@@ -26,7 +30,7 @@ def simple_sample(df: DataFrame, fraction: float, key: str, seed: int = 42) -> D
 
 
 def stratified_sample(df: DataFrame, fraction: float, stratum: str, key: str, seed: int = 42,
-                      buckets: int = 1024) -> DataFrame:
+                      buckets: int | None = None) -> DataFrame:
     """Exact proportional stratified sample (H6): from each stratum the
     ``round(fraction * n_stratum)`` rows with the smallest seeded hash.
 
@@ -34,17 +38,18 @@ def stratified_sample(df: DataFrame, fraction: float, stratum: str, key: str, se
     buckets per stratum, counts per (stratum, bucket) give the bucket that
     holds the cut-off rank, rows of lower buckets are kept whole, and only
     that boundary bucket is ranked by a window.  A label with a third of all
-    rows is cut into ``buckets`` pieces like any other."""
+    rows is cut into ``buckets`` pieces like any other.  Their number follows the
+    row count (a bucket holds at most about ``ROWS_PER_BUCKET`` rows)."""
+    buckets = buckets or max(64, -(-df.count() // ROWS_PER_BUCKET))
     h = _hash_rank(key, seed)
     frac_pos = F.pmod(F.col("_h"), F.lit(1 << 62)).cast("double") / F.lit(float(1 << 62))
     x = df.withColumn("_h", h).withColumn("_b", F.floor(frac_pos * buckets).cast("int"))
     counts = x.groupBy(stratum, "_b").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(stratum).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     w_all = Window.partitionBy(stratum)
-    # (strata x buckets) rows: a small table.
     plan = counts.select(stratum, "_b", "_n", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"),
                          F.round(F.sum("_n").over(w_all) * F.lit(fraction)).cast("long").alias("_take"))
-    y = x.join(F.broadcast(plan), [stratum, "_b"])
+    y = x.join(plan, [stratum, "_b"])
     whole = y.filter(F.col("_before") + F.col("_n") <= F.col("_take"))
     edge = y.filter((F.col("_before") < F.col("_take")) & (F.col("_before") + F.col("_n") > F.col("_take")))
     wr = Window.partitionBy(stratum, "_b").orderBy(F.pmod(F.col("_h"), F.lit(1 << 62)), F.col(key))

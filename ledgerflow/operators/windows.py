@@ -60,9 +60,13 @@ def with_global_index(df: DataFrame, order_by: Sequence[str], partitions: int |
             .drop("_off", "_idx"))
 
 
+# Most rows of a chunk: the work of one window task does not grow with the table.
+ROWS_PER_CHUNK = 1_000_000
+
+
 def chunk_size(total_rows: int, partitions: int, reach: int) -> int:
-    """Rows per chunk: balanced over ``partitions``, never below the halo."""
-    return max(reach + 1, -(-max(total_rows, 1) // max(partitions, 1)))
+    """Rows per chunk: balanced over ``partitions``, at most ``ROWS_PER_CHUNK``, never below the halo."""
+    return max(reach + 1, min(ROWS_PER_CHUNK, -(-max(total_rows, 1) // max(partitions, 1))))
 
 
 def with_halo(dfg: DataFrame, n: int, back: int, fwd: int, g: str = "_g") -> DataFrame:
@@ -166,9 +170,19 @@ def window_features(df: DataFrame, order_by: Sequence[str], amount: str = "Trans
     row_number, rank, next/prev amount, cumulative_sum, rolling avg/max/min.
 
     With ``cents_col`` (amount in integer cents) the running sum is exact and
-    independent of how the table is chunked."""
+    independent of how the table is chunked.  Only the order key, the timestamp and
+    the amount go through the exchanges and the checkpoint; other columns are
+    joined back on the (unique) order key at the end."""
     n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    base = df.withColumn("month", F.month(ts))
+    needed = list(dict.fromkeys([*order_by, ts, amount] + ([cents_col] if cents_col else [])))
+    others = [c for c in df.columns if c not in needed and c != "month"]
+    if others:
+        slim = window_features(df.select(*needed), order_by, amount, ts, k, partitions, cents_col)
+        added = [c for c in slim.columns if c not in needed]
+        key = F.struct(*[F.col(c) for c in order_by])  # a struct compares nulls as equal
+        right = slim.select(key.alias("_key"), *added)
+        return df.drop("month").join(right, key == F.col("_key"), "left").drop("_key")
+    base = df.select(*needed).withColumn("month", F.month(ts))
     dfg = with_global_index(base, order_by, n_parts)
     n = chunk_size(dfg.count(), n_parts, max(k - 1, 1))
     shifted = shift_rolling_on(dfg, amount, n, k)

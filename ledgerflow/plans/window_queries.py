@@ -35,7 +35,7 @@ def g_window_features(spark, sf_dir):
     """Row number and rank per month, lead, lag, running sum per
     month, rolling-3 mean/max/min over the whole table, all distributed."""
     c = card(spark, sf_dir, parts=False).withColumn("_cents", cents(F.col("TransactionAmt")))
-    f = window_features(c, ORDER, amount="TransactionAmt", cents_col="_cents")
+    f = window_features(c.select(*ORDER, "TransactionAmt", "_cents"), ORDER, amount="TransactionAmt", cents_col="_cents")
     return rounded(f.select(*FEATURES), ["rolling_avg_3"])
 
 

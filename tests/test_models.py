@@ -93,3 +93,25 @@ def test_aligned_difference_of_unequal_days(spark):
     b = _series_df(spark, "s", [1.0, 1.0, 1.0], start=dt.date(2024, 1, 2)).withColumnRenamed("value", "v")
     got = {r["day"].day: r["difference"] for r in aligned_difference(a, b, ["series", "day"], "value", "v").collect()}
     assert got == {1: None, 2: 1.0, 3: 2.0, 4: None}
+
+
+def test_window_features_keep_other_columns(spark):
+    from ledgerflow.operators.windows import window_features, window_features_plain
+
+    rows = [(i, dt.datetime(2024, 1 + i % 3, 1 + i % 20, i % 24), None if i % 9 == 0 else float(i % 7), f"n{i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, sample_datetime timestamp_ntz, TransactionAmt double, name string")
+    got = window_features(df, ["sample_datetime", "id"], partitions=4)
+    want = window_features_plain(df, ["sample_datetime", "id"])
+    cols = sorted(want.columns)
+    assert sorted(got.columns) == cols
+    key = lambda r: r["id"]
+    for a, b in zip(sorted(got.select(cols).collect(), key=key), sorted(want.select(cols).collect(), key=key)):
+        assert all(x == y or abs(x - y) < 1e-9 for x, y in zip(a, b) if not (x is None and y is None))
+
+
+def test_label_copy_ranks_first(spark):
+    from ledgerflow.operators.features import feature_importance
+
+    df = spark.range(0, 600).select((F.col("id") % 3 == 0).cast("int").alias("y"), F.rand(1).alias("noise"), F.rand(2).alias("more"))
+    top = feature_importance(df.withColumn("copy", F.col("y").cast("double")), "y", ["noise", "copy", "more"]).orderBy(F.desc("importance")).first()
+    assert top[0] == "copy"
