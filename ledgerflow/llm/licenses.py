@@ -8,8 +8,10 @@ whole.  The texts scanned in a document are the entire document and, for
 documents that carry a licence next to other matter, each of its lines and each
 of its paragraphs (runs of lines between blank ones) as an entire text of its own.
 
-The known licences are a parameter: a list of (name, text).  The list below is
-short; the join broadcasts it because its length is known (``len(known)`` rows).
+The known licences are a parameter: a list of (name, text).  The list below holds
+the entire texts of ``license_texts.py`` with and without their titles, and the
+usual one-line notices; the join broadcasts it because its length is known
+(``len(known)`` rows).  A text or notice worded otherwise is not found.
 
 Only DataFrame functions are used.  Lines are looked up where the document is
 read; a document's hits are merged by a partially aggregated ``groupBy`` on a row
@@ -25,6 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerflow.llm import license_texts
 from ledgerflow.llm.common import setup
 
 # Spellings that count as equal (canonical form second).
@@ -67,6 +70,57 @@ LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR
 OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
 PERFORMANCE OF THIS SOFTWARE.
 """
+CC_TERMS = (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-NC", "Attribution-NonCommercial"),
+            ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+            ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"))
+CC_VERSIONS = (("4.0", "International"), ("3.0", "Unported"), ("2.5", "Generic"), ("2.0", "Generic"), ("1.0", "Generic"))
+GNU = (("GPL", "General Public License", "1.0"), ("GPL", "General Public License", "2.0"), ("GPL", "General Public License", "3.0"),
+       ("LGPL", "Library General Public License", "2.0"), ("LGPL", "Lesser General Public License", "2.1"),
+       ("LGPL", "Lesser General Public License", "3.0"), ("AGPL", "Affero General Public License", "3.0"))
+LATER = (" or later", " or any later version")
+
+
+def _gnu(short: str, spoken: str, version: str) -> list:
+    name, v = f"{short}-{version}", version.removesuffix(".0")
+    said = tuple(f"GNU {spoken} {x}{n}" for n in dict.fromkeys((v, version)) for x in ("version ", "v", ""))
+    said += tuple(f"{s} {x}{v}" for s in (f"GNU {short}", short) for x in ("version ", "v")) + (f"GNU {short}v{v}", f"{short}v{v}", f"{short} {version}")
+    return [(name, (name, f"{name}-only"), said), (f"{name}-or-later", (f"{name}-or-later", f"{name}+"), tuple(x + y for x in said for y in LATER))]
+
+
+# Fixed values: (name, SPDX identifiers, the words a notice names it by).
+NAMED = (
+    ("MIT", ("MIT",), ("MIT", "Expat")),
+    ("ISC", ("ISC",), ("ISC",)),
+    ("Apache-2.0", ("Apache-2.0",), ("Apache License, Version 2.0", "Apache License 2.0", "Apache License v2.0", "Apache Software License 2.0",
+                                     "Apache Software License, Version 2.0", "Apache 2.0", "Apache v2", "Apache 2", "Apache v2.0")),
+    ("BSD-3-Clause", ("BSD-3-Clause",), ("3-Clause BSD", "BSD 3-Clause", "New BSD", "Modified BSD", "three-clause BSD")),
+    ("BSD-2-Clause", ("BSD-2-Clause",), ("2-Clause BSD", "BSD 2-Clause", "Simplified BSD", "FreeBSD", "two-clause BSD")),
+    *((f"MPL-{v}", (f"MPL-{v}",), (f"Mozilla Public License, version {v}", f"Mozilla Public License, v. {v}", f"Mozilla Public License {v}",
+                                   f"Mozilla Public License v{v}", f"MPL {v}", f"MPL v{v}")) for v in ("1.1", "2.0")),
+    *(x for g in GNU for x in _gnu(*g)),
+    ("CC0-1.0", ("CC0-1.0",), ("CC0", "CC0 1.0", "CC0 1.0 Universal", "Creative Commons Zero v1.0 Universal", "Creative Commons CC0 1.0 Universal")),
+    *((f"CC-{c}-{v}", (f"CC-{c}-{v}",), (f"CC {c} {v}", f"CC {c} {v} {area}", f"Creative Commons {c} {v}", f"Creative Commons {n} {v}", f"Creative Commons {n} {v} {area}"))
+      for c, n in CC_TERMS for v, area in CC_VERSIONS),
+    # Without a version.
+    *((f"CC-{c}", (), (f"CC {c}", f"Creative Commons {c}", f"Creative Commons {n}")) for c, n in CC_TERMS),
+)
+FORMS = ("Licensed under", "Released under", "Distributed under", "Available under", "This work is licensed under",
+         "This project is licensed under", "This software is licensed under", "This document is licensed under")
+
+
+def notices(named=NAMED) -> list[tuple[str, str]]:
+    """``(license, line)`` of the usual one-line notices of the named licences."""
+    out = {}
+    for name, ids, spoken in named:
+        lines = [f"SPDX-License-Identifier: {i}" for i in ids]
+        for s in spoken:
+            # "GNU General Public License v3" names it in full, "MIT" or "CC BY 4.0" may have "License" after it.
+            said = (s,) if "License" in s or "later" in s else (s, f"{s} License")
+            lines += [f"License: {s}"] + [f"{f} {a}{x}." for f in FORMS for x in said for a in ("", "a " if s.startswith("Creative") else "the ")]
+        out |= {x: name for x in lines if x not in out}
+    return [(n, x) for x, n in out.items()]
+
+
 KNOWN = (
     ("MIT", MIT_TEXT),
     ("ISC", ISC_TEXT),
@@ -85,6 +139,12 @@ KNOWN = (
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related rights to this work."),
+    *(("MIT", MIT_TEXT.replace("MIT License", t, 1)) for t in license_texts.MIT_TITLES),
+    *(("ISC", f"{t}\n\n{ISC_TEXT}") for t in license_texts.ISC_TITLES),
+    *(("BSD-2-Clause", t) for t in license_texts.bsd(2)),
+    *(("BSD-3-Clause", t) for t in license_texts.bsd(3)),
+    *license_texts.published(),
+    *notices(),
 )
 
 #: A copyright line: "copyright" with a year or sign, a sign alone, or the usual closing words.

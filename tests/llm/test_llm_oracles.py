@@ -118,3 +118,37 @@ def test_empty_tables(name, tables, agree):
     folder, con = tables(documents=(DOC, []), embeddings=("vec_id long, embedding array<float>, label int", []),
                          pages=("page_id long, url string, html string", []), conversations=(CONV, []))
     assert agree(name, folder, con) == 0
+
+
+def test_every_licence_line_of_the_given_documents_is_found(spark):
+    """Looked up by their wording, not by the list: no licence line may lack a notice."""
+    import re
+
+    from ledgerflow.llm.common import read_table
+
+    for sf in (SF, "/root/testdata/sf0.01"):
+        docs = read_table(spark, sf, "documents").select("doc_id", "text")
+        want = {}
+        for d, text in docs.where("text rlike '(?i)licen[sc]e'").collect():
+            lines = [x for x in text.split("\n") if re.search(r"(?i)\b(?:licen[sc]ed|released) under\b", x)]
+            if lines and "\n" in text:
+                want[d] = len(lines)
+        got = {r.doc_id: r for r in Q.licenses.scan(docs).collect()}
+        assert want and {d: got[d].n_notices for d in want} == want
+        assert any("CC-BY-NC-4.0" in got[d].notices for d in want)
+
+
+def test_entire_licence_texts(spark):
+    from ledgerflow.llm import license_texts as T
+
+    def rewrap(text):  # one line a paragraph, under somebody's copyright line
+        return "Copyright (c) 2020 Somebody\n\n" + "\n\n".join(" ".join(p.split()) for p in text.split("\n\n"))
+
+    mit = Q.licenses.MIT_TEXT
+    texts = [("MIT", mit.replace("MIT License", "")), ("MIT", mit.replace("MIT License", "The MIT License (MIT)\n\nCopyright (c) 2021 X")),
+             ("ISC", "ISC License\n\n" + Q.licenses.ISC_TEXT), ("BSD-2-Clause", T.bsd(2)[0]), ("BSD-3-Clause", T.bsd(3)[-1])]
+    texts += [(n, t) for n, t, _, _ in T.PUBLISHED] + [("Apache-2.0", T.APACHE_2.replace("Copyright [yyyy] [name of copyright owner]", "Copyright 2020 Somebody"))]
+    texts += [("GPL-2.0", T.GPL_2[: T.GPL_2.index("How to Apply")]), ("GPL-3.0", T.GPL_3[T.GPL_3.index("Everyone"):])]
+    rows = [(i, t if i % 2 else rewrap(t)) for i, (_, t) in enumerate(texts)] + [(100 + i, t) for i, (_, t) in enumerate(texts)]
+    got = {r.doc_id: r.license for r in Q.licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {d: texts[d % 100][0] for d, _ in rows}
