@@ -4,10 +4,12 @@ The lines of a message are parsed into quote levels (the number of leading ``>``
 blanks allowed between them) and cut into passages: runs of lines of one level
 without a blank line.  Every passage, and every line of a longer passage, is
 normalised (lower case, runs of other characters than letters and digits as one
-space) and hashed.  Passages quoted at level 1 are joined by hash to the unquoted
+space) and hashed.  Passages quoted at any level are joined by hash to the unquoted
 passages of earlier messages of the conversation; of several messages that said
-the same the latest earlier one counts, and a message answers the one of which
-it quotes most characters (the latest of equals).  Messages linked this way form
+the same the latest earlier one counts.  The least level with a link decides: a
+message answers the one of which it quotes most characters there (the latest of
+equals), so deeper quotes speak only where the levels above them link nothing.  A
+passage that a message quotes at several levels counts at the least.  Messages linked this way form
 threads; a conversation lists its threads by their first turn and the messages
 of a thread by turn, so that every reply comes after what it answers, and each
 message keeps only its own text: no quoted lines, no attribution line.
@@ -70,8 +72,10 @@ def passages(messages: DataFrame) -> DataFrame:
 
 
 def _answers(parts: DataFrame) -> DataFrame:
-    """``(row, reply_to, n_linked)``: the turn each quoting message answers and its linked passages."""
-    quoted = shared_table(parts.where("level = 1").groupBy("row", "conv", "turn", "h").agg(F.max("chars").alias("chars")), "quoted")
+    """``(row, reply_to, n_linked, n_nested_linked)``: the turn each quoting message
+    answers and its linked passages at level 1 and deeper."""
+    quoted = shared_table(parts.where("level >= 1").groupBy("row", "conv", "turn", "h").agg(
+        F.min("level").alias("level"), F.max("chars").alias("chars")), "quoted")
     wanted = quoted.select("conv", "h").distinct()
     said = parts.where("level = 0 and turn is not null").join(
         wanted.select(F.col("conv").alias("c2"), F.col("h").alias("h2")), F.col("conv").eqNullSafe(F.col("c2")) & (F.col("h") == F.col("h2")), "left_semi")
@@ -87,8 +91,17 @@ def _answers(parts: DataFrame) -> DataFrame:
     found = found.select(F.col("conv").alias("c3"), F.col("h").alias("h3"), F.col("turn").alias("t3"),
                          F.coalesce("near", "carried").alias("said_at")).where("said_at is not null")
     hits = quoted.join(found, F.col("conv").eqNullSafe(F.col("c3")) & (F.col("h") == F.col("h3")) & (F.col("turn") == F.col("t3")))
-    votes = hits.groupBy("row", "said_at").agg(F.sum("chars").alias("chars"), F.count(F.lit(1)).alias("n"))
-    return votes.groupBy("row").agg(F.max(F.struct("chars", "said_at"))["said_at"].alias("reply_to"), F.sum("n").alias("n_linked"))
+    votes = hits.groupBy("row", "level", "said_at").agg(F.sum("chars").alias("chars"), F.count(F.lit(1)).alias("n"))
+    best = F.max(F.struct((-F.col("level")).alias("near"), "chars", "said_at"))["said_at"]
+    return votes.groupBy("row").agg(best.alias("reply_to"), _at_first("n").alias("n_linked"), _nested("n").alias("n_nested_linked"))
+
+
+def _at_first(n: str) -> Column:
+    return F.sum(F.when(F.col("level") == 1, F.col(n)).otherwise(0))
+
+
+def _nested(n: str) -> Column:
+    return F.sum(F.when(F.col("level") > 1, F.col(n)).otherwise(0))
 
 
 def _threads(linked: DataFrame) -> DataFrame:
@@ -125,10 +138,11 @@ def _placed(rows: DataFrame) -> DataFrame:
 
 def reply_ordered(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
                   text_col: str = "text") -> DataFrame:
-    """``(conv_id, position, turn, role, text, reply_to, thread, n_quotes, n_linked)``:
-    every message's own text and its place in its conversation; ``reply_to`` is the
-    turn it answers, ``thread`` the first turn of its thread, ``n_quotes`` the
-    passages it quotes at level 1 and ``n_linked`` those found."""
+    """``(conv_id, position, turn, role, text, reply_to, thread, n_quotes, n_linked,
+    n_nested, n_nested_linked)``: every message's own text and its place in its
+    conversation; ``reply_to`` is the turn it answers, ``thread`` the first turn of
+    its thread, ``n_quotes`` the passages it quotes at level 1 and ``n_linked`` those
+    found, ``n_nested`` and ``n_nested_linked`` the same of those it quotes deeper only."""
     setup(messages.sparkSession)
     rows = shared_table(messages.select(F.monotonically_increasing_id().alias("row"), F.col(conv_col).alias("conv"),
                                         F.col(turn_col).cast("long").alias("turn"), F.col(role_col).alias("role"),
@@ -138,12 +152,13 @@ def reply_ordered(messages: DataFrame, conv_col: str = "conv_id", turn_col: str
     # Only conversations in which somebody quotes are cut into passages.
     parts = shared_table(passages(rows.join(convs, F.col("conv").eqNullSafe(F.col("c2")), "left_semi")), "passages")
     answers = shared_table(_answers(parts), "answers")
-    n_quotes = parts.where("level = 1").groupBy(F.col("row").alias("r2")).agg(F.count_distinct("h").alias("n_quotes"))
+    n_quotes = parts.where("level >= 1").groupBy("row", "h").agg(F.min("level").alias("level")).withColumn("n", F.lit(1)).groupBy(
+        F.col("row").alias("r2")).agg(_at_first("n").alias("n_quotes"), _nested("n").alias("n_nested"))
     rows = rows.join(answers.withColumnRenamed("row", "r1"), F.col("row") == F.col("r1"), "left").join(n_quotes, F.col("row") == F.col("r2"), "left")
     threads = _threads(rows.where("reply_to is not null").select("conv", "turn", "reply_to")).select(
         F.col("conv").alias("c3"), F.col("turn").alias("t3"), "thread")
     rows = rows.join(threads, F.col("conv").eqNullSafe(F.col("c3")) & (F.col("turn") == F.col("t3")), "left")
+    counts = ["n_quotes", "n_linked", "n_nested", "n_nested_linked"]
     rows = _placed(rows.select("row", "conv", "turn", "role", own_text(F.col("text")).alias("text"), "reply_to",
-                               F.coalesce("thread", "turn").alias("thread"), F.coalesce("n_quotes", F.lit(0)).alias("n_quotes"),
-                               F.coalesce("n_linked", F.lit(0)).alias("n_linked")))
-    return rows.select(F.col("conv").alias("conv_id"), "position", "turn", "role", "text", "reply_to", "thread", "n_quotes", "n_linked")
+                               F.coalesce("thread", "turn").alias("thread"), *[F.coalesce(c, F.lit(0)).alias(c) for c in counts]))
+    return rows.select(F.col("conv").alias("conv_id"), "position", "turn", "role", "text", "reply_to", "thread", *counts)

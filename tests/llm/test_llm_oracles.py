@@ -74,6 +74,25 @@ def test_quotes(tables, agree):
     assert [t for (c, t), r in sorted(got.items(), key=lambda x: x[1].position) if c == 1] == [0, 1, 2, 3, 4, 5, 6]
 
 
+def test_quotes_at_deeper_levels_only(tables):
+    rows = [
+        (1, 0, "a", "the original words\nand more of them"), (1, 1, "b", "> the original words\nan answer in between"), (1, 2, "c", "something else"),
+        (1, 3, "d", ">> the original words\nonly the deeper quote is left"), (1, 4, "e", "> > > something  ELSE\ndeeper still"),
+        (1, 5, "f", ">> the original words\n>> and more of them\n> something else\nthe least level that links decides"),
+        (1, 6, "g", "> was never said\n>> an answer in between\n>> something else\nthe level above links nothing"),
+        (1, 7, "h", "> something else\n>> something else\none passage at two levels"), (2, 0, "a", ">> the original words\nanother conversation"),
+    ]
+    folder, _ = tables(conversations=(CONV, rows))
+    got = {(r.conv_id, r.turn): r for r in Q.quotes.reply_ordered(session().read.parquet(f"{folder}/conversations.parquet")).collect()}
+    assert {t: got[1, t].reply_to for t in range(8)} == {0: None, 1: 0, 2: None, 3: 0, 4: 2, 5: 2, 6: 1, 7: 2}
+    assert [got[1, t].thread for t in range(8)] == [0, 0, 2, 0, 2, 2, 0, 2]
+    counts = {k: (r.n_quotes, r.n_linked, r.n_nested, r.n_nested_linked) for k, r in got.items()}
+    assert counts[1, 3] == (0, 0, 1, 1) and counts[1, 5] == (1, 1, 3, 3) and counts[1, 6] == (1, 0, 3, 2) and counts[1, 7] == (1, 1, 0, 0)
+    assert counts[2, 0] == (0, 0, 1, 0) and got[2, 0].reply_to is None and got[1, 3].text == "only the deeper quote is left"
+    # The registered query links them as well.
+    assert {r.turn: r.reply_to for r in Q.QUERIES["op3_quotes"](session(), folder).where("conv_id = 1").collect()}[3] == 0
+
+
 def test_quotes_over_many_turns(tables, agree):
     rows = [(1, t, "u", f"> line {t - 300}\nline {t}\ncommon" if t >= 300 else f"line {t}\ncommon") for t in range(900)]
     rows += [(1, 1000 + t, "u", "> common\nyes") for t in range(40)]
