@@ -206,8 +206,7 @@ def e25_quality_report(spark, sf_dir):
     return rounded(Q.quality_report(pca_projection(load(spark, sf_dir, "tx_pca")), include_types=False))
 
 
-def _mobile_report_sql():
-    num, cat = MOBILE_REPORT_NUM, MOBILE_REPORT_CAT
+def _mobile_report_sql(num, cat, types):
     cols = num + cat
     parts = [f"SELECT 'missing_values' AS section, '{c}' AS \"column\", 'count' AS metric, "
              f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS text FROM t" for c in cols]
@@ -218,7 +217,7 @@ def _mobile_report_sql():
     parts.append("SELECT 'outliers', \"column\", 'count', CAST(outliers AS DOUBLE), NULL FROM (" + _iqr_sql(num, "t") + ")")
     parts += [f"SELECT 'most_frequent', '{c}', 'mode', CAST(n AS DOUBLE), v FROM (SELECT CAST({c} AS VARCHAR) AS v, count(*) AS n FROM t "
               f"GROUP BY 1 ORDER BY n DESC, v ASC NULLS FIRST LIMIT 1)" for c in cat]
-    parts.append("SELECT 'data_types', c, 'dtype', NULL, v FROM (VALUES " + _types_sql(MOBILE_REPORT_TYPES) + ") AS x(c, v)")
+    parts.append("SELECT 'data_types', c, 'dtype', NULL, v FROM (VALUES " + _types_sql(types) + ") AS x(c, v)")
     return f"WITH t AS (SELECT {', '.join(cols)} FROM tx_mobile)\n" + _union(parts)
 
 
@@ -228,11 +227,30 @@ MOBILE_REPORT_TYPES = (("step", "int"), ("amount", "double"), ("oldbalanceOrg",
                        ("isFraud", "int"), ("type", "string"), ("nameOrig", "string"))
 
 
-@register("e25_quality_report_mobile", views=("tx_mobile",), sql=_mobile_report_sql())
+@register("e25_quality_report_mobile", views=("tx_mobile",),
+          sql=_mobile_report_sql(MOBILE_REPORT_NUM, MOBILE_REPORT_CAT, MOBILE_REPORT_TYPES))
 def e25_quality_report_mobile(spark, sf_dir):
-    """The quality report of the mobile transactions with types, modes and
-    outliers (the largest table, with categorical columns)."""
-    rep = Q.quality_report(load(spark, sf_dir, "tx_mobile").select(*MOBILE_REPORT_NUM, *MOBILE_REPORT_CAT))
+    """The quality report of seven of the eleven columns of the mobile
+    transactions (the whole table: ``e25_quality_report_mobile_full``)."""
+    return _mobile_report(load(spark, sf_dir, "tx_mobile").select(*MOBILE_REPORT_NUM, *MOBILE_REPORT_CAT))
+
+
+MOBILE_ALL_NUM = MOBILE_REPORT_NUM + ["oldbalanceDest", "newbalanceDest", "isFlaggedFraud"]
+MOBILE_ALL_CAT = MOBILE_REPORT_CAT + ["nameDest"]
+MOBILE_ALL_TYPES = MOBILE_REPORT_TYPES + (("oldbalanceDest", "double"), ("newbalanceDest", "double"), ("isFlaggedFraud", "int"),
+                                          ("nameDest", "string"))
+
+
+@register("e25_quality_report_mobile_full", views=("tx_mobile",),
+          sql=_mobile_report_sql(MOBILE_ALL_NUM, MOBILE_ALL_CAT, MOBILE_ALL_TYPES))
+def e25_quality_report_mobile_full(spark, sf_dir):
+    """The quality report of every column of the mobile transactions with
+    types, modes and outliers; duplicates are taken over whole rows."""
+    return _mobile_report(load(spark, sf_dir, "tx_mobile"))
+
+
+def _mobile_report(df):
+    rep = Q.quality_report(df)
     summary = (F.col("section") == "numeric_summary") & F.col("metric").isin("mean", "stddev")
     return rep.withColumn("value", F.when(summary, F.round("value", 3)).otherwise(F.col("value")))
 

@@ -148,3 +148,16 @@ def test_rules_and_quarantine(spark):
     assert f == {"positive": 1, "max_200k": 2}
     ok, bad = Q.quarantine(df, rules)
     assert ok.count() == 1 and bad.count() == 2
+
+
+def test_mobile_report_covers_every_column(spark):
+    import __spark_entry__ as entry
+    from ledgerflow.sources.fixtures import load
+
+    sf = "/root/testdata/sf0.001"
+    m = load(spark, sf, "tx_mobile")
+    rep = entry.queries()["e25_quality_report_mobile_full"](spark, sf).collect()
+    for section in ("missing_values", "unique_values", "data_types"):
+        assert {r["column"] for r in rep if r["section"] == section} == set(m.columns)
+    dup = [r["value"] for r in rep if r["section"] == "duplicates"]
+    assert dup == [m.count() - m.distinct().count()]
