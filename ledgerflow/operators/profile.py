@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from ledgerflow.functions.columns import columns_of_type
 from ledgerflow.functions.money import cents
 from ledgerflow.operators.quality import data_types, duplicate_count, null_counts, top_values
-from ledgerflow.operators.quantiles import quantiles, unpivot
+from ledgerflow.operators.quantiles import _default_buckets, bucketize, quantiles, rank_spans, unpivot
 from ledgerflow.operators.sampling import simple_sample, stratified_sample
+from ledgerflow.session import cut_lineage
 
 PROFILE_QUANTILES = [0.05, 0.25, 0.5, 0.75, 0.95]
 
@@ -104,6 +105,63 @@ def correlations(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return wide.select(F.expr(f"stack({len(pairs)}, {args}) AS (column_a, column_b, pearson)"))
 
 
+def rank_correlations(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """P5: Spearman correlation of every column pair, the Pearson correlation of
+    average ranks -> ``(column_a, column_b, spearman)``.
+
+    A pair is ranked over the rows that have both values: the columns without a
+    missing value are ranked once together, every other pair on its own rows."""
+    cols = list(cols or columns_of_type(df, "numeric"))
+    missing = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    complete = [c for i, c in enumerate(cols) if not missing[f"n{i}"]]
+    parts = [_rank_correlations(df, complete)] if len(complete) > 1 else []
+    for i, a in enumerate(cols):
+        for b in cols[i + 1:]:
+            if a not in complete or b not in complete:
+                parts.append(_rank_correlations(df.filter(F.col(a).isNotNull() & F.col(b).isNotNull()), [a, b]))
+    if not parts:
+        return df.sparkSession.createDataFrame([], "column_a string, column_b string, spearman double")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _rank_correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    bucketed = bucketize(df.select(*cols), cols, _default_buckets(df)).withColumn("_row", F.monotonically_increasing_id())
+    rows = cut_lineage(bucketed)  # the row numbers must not change between the ranks and the join
+    long = rows.select("_row", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).alias("v"), F.col(f"{c}__b").alias("b")) for c in cols])).alias("_s")).select("_row", "_s.*")
+    ranks = rank_spans(long, ["column"]).select("column", "v", ((F.col("first") + F.col("last")) / 2).alias("rank"))
+    ranked = long.join(ranks, ["column", "v"]).groupBy("_row").agg(
+        *[F.max(F.when(F.col("column") == c, F.col("rank"))).alias(c) for c in cols])
+    return correlations(ranked, cols).withColumnRenamed("pearson", "spearman")
+
+
+def associations(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """P5: Cramer's V of every pair of categorical columns, from pair counts over
+    the rows that have both values -> ``(column_a, column_b, cramers_v)``; null where
+    a column has fewer than two values."""
+    cols = list(cols or columns_of_type(df, "categorical"))
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "column_a string, column_b string, cramers_v double")
+    items = F.array(*[F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(a).cast("string").alias("x"),
+                               F.col(b).cast("string").alias("y")) for a, b in pairs])
+    pair = ["column_a", "column_b"]
+    counts = df.select(F.explode(items).alias("_s")).select("_s.*").filter(F.col("x").isNotNull() & F.col("y").isNotNull()) \
+        .groupBy(*pair, "x", "y").agg(F.count(F.lit(1)).alias("n"))
+    nx = counts.groupBy(*pair, "x").agg(F.sum("n").alias("nx"))
+    ny = counts.groupBy(*pair, "y").agg(F.sum("n").alias("ny"))
+    sizes = nx.groupBy(*pair).agg(F.count(F.lit(1)).alias("kx")).join(ny.groupBy(*pair).agg(F.count(F.lit(1)).alias("ky")), pair)
+    share = F.col("n").cast("double") * F.col("n") / (F.col("nx").cast("double") * F.col("ny"))
+    phi2 = counts.join(nx, [*pair, "x"]).join(ny, [*pair, "y"]).groupBy(*pair).agg((F.sum(share) - 1).alias("phi2"))
+    k = F.least("kx", "ky") - 1
+    v = F.when(k > 0, F.sqrt(F.greatest(F.col("phi2"), F.lit(0.0)) / k))
+    every = df.sparkSession.createDataFrame(pairs, "column_a string, column_b string")
+    return every.join(phi2.join(sizes, pair), pair, "left").select(*pair, v.alias("cramers_v"))
+
+
 def missing_patterns(df: DataFrame) -> DataFrame:
     """Co-occurring missing columns -> ``(pattern, rows)``; the pattern
     names the null columns ('' = complete row)."""
@@ -126,8 +184,10 @@ def profile(df: DataFrame, mode: str = "full", fraction: float = 0.2, stratum: s
     if columns_of_type(df, "numeric"):
         out["numeric"] = numeric_profile(df)
         out["correlations"] = correlations(df)
+        out["rank_correlations"] = rank_correlations(df)
     if columns_of_type(df, "categorical"):
         out["categorical"] = categorical_profile(df)
+        out["associations"] = associations(df)
     if columns_of_type(df, "timestamp"):
         out["timestamps"] = timestamp_profile(df)
     return out

@@ -138,6 +138,69 @@ def p5_correlations(spark, sf_dir):
     return rounded(P.correlations(pca_projection(load(spark, sf_dir, "tx_pca")), PCA_NUM))
 
 
+def _spearman_sql():
+    ranks = ", ".join(f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0 AS {c}" for c in PCA_NUM)
+    return f"""WITH {_PCA}, ranked AS (SELECT {ranks} FROM pca)
+SELECT column_a, column_b, CASE WHEN isnan(r) THEN NULL ELSE round(r, 6) END AS spearman FROM (
+SELECT unnest([{", ".join(f"'{a}'" for a, _ in _CORR)}]) AS column_a, unnest([{", ".join(f"'{b}'" for _, b in _CORR)}]) AS column_b,
+       unnest([{", ".join(f"corr({a}, {b})" for a, b in _CORR)}]) AS r FROM ranked)"""
+
+
+@register("p5_rank_correlations", views=("tx_pca",), sql=_spearman_sql())
+def p5_rank_correlations(spark, sf_dir):
+    """P5: Spearman correlation of every pair of the 31 columns."""
+    return rounded(P.rank_correlations(pca_projection(load(spark, sf_dir, "tx_pca")), PCA_NUM))
+
+
+# Every categorical column of the mobile data that is not an identifier, and the flags.
+ASSOCIATED = PROFILE_CATEGORICAL + ["isFraud", "isFlaggedFraud"]
+
+
+def _cramers_sql():
+    parts = []
+    for i, a in enumerate(ASSOCIATED):
+        for b in ASSOCIATED[i + 1:]:
+            parts.append(f"""SELECT '{a}' AS column_a, '{b}' AS column_b, (SELECT CASE WHEN least(count(DISTINCT x), count(DISTINCT y)) > 1
+    THEN round(sqrt(greatest(sum(n * n / (nx * ny)) - 1, 0) / (least(count(DISTINCT x), count(DISTINCT y)) - 1)), 6) END FROM (
+    SELECT x, y, n, sum(n) OVER (PARTITION BY x) AS nx, sum(n) OVER (PARTITION BY y) AS ny FROM (
+      SELECT {a} AS x, {b} AS y, CAST(count(*) AS DOUBLE) AS n FROM mobile WHERE {a} IS NOT NULL AND {b} IS NOT NULL GROUP BY 1, 2))) AS cramers_v""")
+    return f"WITH {_MOBILE_TS}\n" + _union(parts)
+
+
+@register("p5_associations", views=("tx_mobile",), sql=_cramers_sql())
+def p5_associations(spark, sf_dir):
+    """P5: Cramer's V of every pair of categorical columns and flags."""
+    return rounded(P.associations(mobile(spark, sf_dir), ASSOCIATED))
+
+
+def _profile(spark, sf_dir, mode):
+    """The sections of the profile as ``(section, entry)``, an entry being a row as JSON."""
+    sections = P.profile(load(spark, sf_dir, "tx_nulls"), mode, stratum="ProductCD", key="TransactionID")
+    out = None
+    for name, t in sections.items():
+        part = t.select(F.lit(name).alias("section"), F.to_json(F.struct("*")).alias("entry"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("p7_profile_full")
+def p7_profile_full(spark, sf_dir):
+    """Every profile section of the card table with missing values."""
+    return _profile(spark, sf_dir, "full")
+
+
+@register("p7_profile_sample")
+def p7_profile_sample(spark, sf_dir):
+    """The profile of a seeded simple sample."""
+    return _profile(spark, sf_dir, "sample")
+
+
+@register("p7_profile_stratified")
+def p7_profile_stratified(spark, sf_dir):
+    """The profile of an exact stratified sample."""
+    return _profile(spark, sf_dir, "stratified")
+
+
 @register("p6_missing_patterns", views=("tx_nulls",), sql="""
 SELECT concat_ws(',', """ + ", ".join(f"CASE WHEN {c} IS NULL THEN '{c}' END" for c in NULLS_COLS) + """) AS pattern,
        count(*) AS rows FROM tx_nulls GROUP BY 1""")

@@ -161,3 +161,37 @@ def test_mobile_report_covers_every_column(spark):
         assert {r["column"] for r in rep if r["section"] == section} == set(m.columns)
     dup = [r["value"] for r in rep if r["section"] == "duplicates"]
     assert dup == [m.count() - m.distinct().count()]
+
+
+def test_rank_correlations_and_associations_with_missing_values(spark):
+    import numpy as np
+    import pandas as pd
+
+    from ledgerflow.operators.profile import associations, rank_correlations
+
+    rng = np.random.default_rng(4)
+    x = pd.DataFrame({"a": rng.integers(0, 9, 300), "b": rng.standard_normal(300)})
+    x["c"] = np.where(np.arange(300) % 7 == 0, None, x["a"] ** 3 - x["b"]).astype(float)
+    df = spark.createDataFrame([(int(a), float(b), None if c != c else float(c)) for a, b, c in x.values], "a int, b double, c double")
+    want = {(p, q): x[[p, q]].dropna().rank().corr().loc[p, q] for p, q in (("a", "b"), ("a", "c"), ("b", "c"))}
+    got = {(r.column_a, r.column_b): r.spearman for r in rank_correlations(df).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    cats = spark.createDataFrame([("u", "1", "k")] * 10 + [("v", "2", "k")] * 10 + [("v", None, "k")], "p string, q string, r string")
+    assert {(r.column_a, r.column_b): r.cramers_v for r in associations(cats).collect()} == {("p", "q"): 1.0, ("p", "r"): None, ("q", "r"): None}
+
+
+def test_profile_in_its_three_modes(spark):
+    import json
+
+    import __spark_entry__ as entry
+
+    sf, rows = "/root/testdata/sf0.001", {}
+    for mode in ("full", "sample", "stratified"):
+        got = entry.queries()[f"p7_profile_{mode}"](spark, sf).collect()
+        assert {r.section for r in got} >= {"overview", "numeric", "categorical", "correlations", "rank_correlations", "types"}
+        overview = [json.loads(r.entry) for r in got if r.section == "overview"]
+        rows[mode] = {r["metric"]: r["value"] for r in overview}["rows"]
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    strata = events.groupBy("event_type").count().collect()
+    assert rows["full"] == events.count()
+    assert abs(rows["stratified"] - sum(0.2 * r["count"] for r in strata)) <= len(strata) and 0 < rows["sample"] < rows["full"]
