@@ -112,13 +112,29 @@ def m4_kmeans_fitted(spark, sf_dir):
     return out.select("time", "amount", "cluster", "distance_from_centroid", "anomaly_score")
 
 
+def _top_fraud_features(spark, sf_dir):
+    """The model input and its 10 most important features (L2)."""
+    f = fraud_features(spark, sf_dir)
+    return f, top_features(feature_importance(f, "isFraud", feature_columns(f, ["isFraud", "TransactionID"])), 10)
+
+
+def _forest(df, cols):
+    s = standardize(df, cols, keep=["TransactionID", "day", "TransactionAmt"], suffix="_z")
+    out = isolation_forest(s, [f"{c}_z" for c in cols], "TransactionID", contamination=0.035)
+    return out.select("TransactionID", "TransactionAmt", "day", "iso_score", "anomaly_score")
+
+
 @register("m3_isolation_forest")
 def m3_isolation_forest(spark, sf_dir):
     """M3/M5: isolation forest (100 trees x 256 rows) on the standardised
-    card features, 3.5 % contamination."""
-    s = standardize(merged(spark, sf_dir), CARD_FEATURES, keep=["TransactionID", "day", "TransactionAmt"], suffix="_z")
-    out = isolation_forest(s, [f"{c}_z" for c in CARD_FEATURES], "TransactionID", contamination=0.035)
-    return out.select("TransactionID", "TransactionAmt", "day", "iso_score", "anomaly_score")
+    features selected by L2, 3.5 % contamination."""
+    return _forest(*_top_fraud_features(spark, sf_dir))
+
+
+@register("m3_isolation_forest_card")
+def m3_isolation_forest_card(spark, sf_dir):
+    """M3/M5: the same on five fixed card columns."""
+    return _forest(merged(spark, sf_dir), CARD_FEATURES)
 
 
 @register("l1_feature_importance")
@@ -133,6 +149,5 @@ def l1_feature_importance(spark, sf_dir):
 def l2_top_features(spark, sf_dir):
     """L2: the frame reduced to its 10 most important features (of 17) plus the
     timestamp and the label."""
-    f = fraud_features(spark, sf_dir)
-    top = top_features(feature_importance(f, "isFraud", feature_columns(f, ["isFraud", "TransactionID"])), 10)
+    f, top = _top_fraud_features(spark, sf_dir)
     return f.select(*top, "sample_datetime", "isFraud")

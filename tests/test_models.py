@@ -115,3 +115,14 @@ def test_label_copy_ranks_first(spark):
     df = spark.range(0, 600).select((F.col("id") % 3 == 0).cast("int").alias("y"), F.rand(1).alias("noise"), F.rand(2).alias("more"))
     top = feature_importance(df.withColumn("copy", F.col("y").cast("double")), "y", ["noise", "copy", "more"]).orderBy(F.desc("importance")).first()
     assert top[0] == "copy"
+
+
+def test_isolation_forest_reads_the_selected_features(spark, monkeypatch):
+    from ledgerflow.plans import catalog, model_queries
+
+    sf, seen = "/root/testdata/sf0.001", []
+    monkeypatch.setattr(model_queries, "isolation_forest", lambda df, cols, *a, **k: seen.append(cols) or isolation_forest(df, cols, *a, **k))
+    out = catalog.QUERIES["m3_isolation_forest"](spark, sf)
+    top = [c for c in catalog.QUERIES["l2_top_features"](spark, sf).columns if c not in ("sample_datetime", "isFraud")]
+    assert sorted(seen[0]) == sorted(f"{c}_z" for c in top) and len(top) == 10
+    assert out.count() == 1000 and 20 <= out.where("anomaly_score = 1").count() <= 50
