@@ -31,7 +31,7 @@ DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: the longest texts, never the size of its partition.
 SLICE_ROWS = 256
 
-__all__ = ["WORD", "DOCUMENT_COLUMNS", "SLICE_ROWS", "read_table", "shared_table", "fold", "map_rows",
+__all__ = ["WORD", "DOCUMENT_COLUMNS", "SLICE_ROWS", "read_table", "shared_path", "shared_table", "fold", "map_rows",
            "filter_rows", "setup", "near_share"]
 
 
@@ -41,11 +41,16 @@ def setup(spark: SparkSession) -> None:
     ship_package(spark)
 
 
+def shared_path(spark: SparkSession, tag: str) -> str:
+    """A new path in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+
+
 def shared_table(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared checkpoint folder and
     return a scan of it."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    path = shared_path(spark, tag)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import embeddings, langid, licenses, minhash, mixing, quality, quotes, spm, toxicity, urls
-from ledgerflow.llm.common import fold, read_table
+from ledgerflow.llm import embeddings, langid, licenses, lloyd, minhash, mixing, pq, quality, quotes, spm, tokenfiles, toxicity, urls
+from ledgerflow.llm.common import fold, read_table, shared_path
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -248,3 +248,65 @@ FROM z JOIN f ON z.host = f.host AND z.lex = f.lex
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's url."""
     return urls.judge(read_table(spark, sf_dir, "pages"))
+
+
+@query("op11_tokenfiles")
+def op11_tokenfiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written as seekable files and read back from them."""
+    path = shared_path(spark, "token-files")
+    tokenfiles.write_token_files(read_table(spark, sf_dir, "documents"), path)
+    return tokenfiles.stored_digests(spark, path)
+
+
+def _whole_sql(scale: int) -> str:
+    return f"[greatest(-{lloyd.LIMIT}, least({lloyd.LIMIT}, floor({scale} * x::DOUBLE)))::BIGINT FOR x IN embedding]"
+
+
+_FINITE = "len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x::DOUBLE)]) = 0"
+
+
+def _rounds_sql(dim: int, rounds: int) -> str:
+    """Rounds over parts p(r, j, p) from centroids c0(j, k, c): a{i} has the code m % 1024
+    and the distance m // 1024 of every part, c{i} the centroids after i rounds."""
+    out = []
+    for i in range(rounds + 1):
+        out.append(f"""a{i} AS MATERIALIZED (SELECT r, j, min(list_sum([(p[i] - c[i]) * (p[i] - c[i]) FOR i IN range(1, {dim + 1})]) * 1024 + k) AS m
+       FROM p JOIN c{i} USING (j) GROUP BY r, j)""")
+        if i < rounds:
+            out.append(f"""s{i} AS (SELECT j, m % 1024 AS k, i, sum(p[i]) AS s, count(*) AS n FROM a{i} JOIN p USING (r, j), range(1, {dim + 1}) t(i) GROUP BY 1, 2, 3),
+m{i} AS (SELECT j, k, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS moved FROM s{i} GROUP BY j, k),
+c{i + 1} AS MATERIALIZED (SELECT c.j, c.k, coalesce(moved, c.c) AS c FROM c{i} c LEFT JOIN m{i} m ON m.j = c.j AND m.k = c.k)""")
+    return ",\n".join(out)
+
+
+@query("op12_lloyd", f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST) AS r, vec_id, {_whole_sql(lloyd.SCALE)} AS p
+     FROM embeddings WHERE len(embedding) = {lloyd.DIM} AND {_FINITE}),
+p AS (SELECT r, 0 AS j, p FROM v),
+h AS (SELECT row_number() OVER (ORDER BY sha256('{lloyd.SEED}' || coalesce(vec_id::VARCHAR, '')), p) - 1 AS k, p AS c FROM v),
+c0 AS MATERIALIZED (SELECT 0 AS j, k, c FROM h WHERE k < {lloyd.K}),
+{_rounds_sql(lloyd.DIM, lloyd.ROUNDS)},
+o AS (SELECT vec_id, (m % 1024)::INT AS cluster, (m // 1024)::BIGINT AS distance FROM a{lloyd.ROUNDS} JOIN v USING (r))
+SELECT vec_id, cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM o JOIN c{lloyd.ROUNDS} ON k = cluster
+""")
+def op12_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector after the production rounds."""
+    return lloyd.cluster_report(read_table(spark, sf_dir, "embeddings"))
+
+
+#: The given vectors have 64 components, so the SQL's parts have 16.
+@query("op13_codes", f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, {_whole_sql(pq.SCALE)}) AS r, vec_id, label, {_whole_sql(pq.SCALE)} AS e
+     FROM embeddings WHERE {_FINITE}),
+p AS MATERIALIZED (SELECT r, j, e[j * 16 + 1:j * 16 + 16] AS p FROM v, range({pq.PARTS}) t(j)),
+c0 AS MATERIALIZED (SELECT j, r - 1 AS k, p AS c FROM p WHERE r <= {pq.ENTRIES}),
+{_rounds_sql(16, pq.ROUNDS)},
+o AS (SELECT r, string_agg(printf('%02x', (m % 1024)::INT), '' ORDER BY j) AS code, sum(m // 1024)::BIGINT AS error FROM a{pq.ROUNDS} GROUP BY r),
+b AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY j, k)) AS codebooks_sha256 FROM c{pq.ROUNDS})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM o JOIN v USING (r), b
+""")
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product code and error of every vector."""
+    return pq.compression_report(read_table(spark, sf_dir, "embeddings"))
