@@ -28,10 +28,12 @@ last four bytes of the format, its magic number, are given.  Files are read with
 the ``binaryFile`` source.
 
 Encoding.  A tokenizer that drops white space between pre-tokens gives a text the
-ids of its words, one after the other; then every distinct word is encoded by the
-library once and remembered (``MEMO_WORDS`` words, then the memory starts anew).
-``word_wise`` says whether a tokenizer's description is of that kind; others encode
-whole texts.
+ids of its words, one after the other; a word is encoded once by the library's model, and the
+last ``MEMO_WORDS`` (to twice as many) words are remembered.  Texts are cut at white space
+into segments of bounded length.  In a segment of Latin letters and ASCII a word's
+pre-tokens are found by the tokenizer's own pattern; in others by the library's
+normaliser and pre-tokenizer.  ``word_wise`` says whether a tokenizer's
+description is of that kind; others encode whole texts.
 
 Defined results: a null or empty text holds the end id alone; repeated rows are
 documents of their own; an empty table gives no file and reads back as an empty
@@ -63,6 +65,8 @@ SHARD_IDS = 1 << 24
 LEVEL = 3
 MEMO_WORDS = 1 << 18
 LONG_WORD = 256
+#: Characters handled at once, and then up to the next white space.
+SEGMENT = 1 << 16
 
 # Fixed values of the zstandard seekable format.
 SKIPPABLE = 0x184D2A50
@@ -109,39 +113,89 @@ def word_wise(description: dict) -> bool:
                    for t in description.get("added_tokens", []))
 
 
+class Memo(dict):
+    """Remembers what ``make`` gives for a key: the last ``MEMO_WORDS`` keys at least, twice as many at most."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.older = make, {}
+
+    def __missing__(self, key):
+        got = self.older.get(key)
+        if got is None:
+            got = self.make(key)
+        if len(key) <= LONG_WORD:
+            if len(self) >= MEMO_WORDS:
+                self.older = dict(self)
+                self.clear()
+            self[key] = got
+        return got
+
+
 class IdEncoder:
     """Texts to token ids as little-endian bytes, ``width`` bytes an id."""
 
     def __init__(self, tokenizer_file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        from tokenizers import Tokenizer
+        import regex
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.lib = Tokenizer.from_file(tokenizer_file)
         with open(tokenizer_file, encoding="utf-8") as f:
-            self.by_word = word_wise(json.load(f))
+            description = json.load(f)
+        self.by_word = word_wise(description)
         self.width = 2 if self.lib.get_vocab_size() <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
-        self.memo: dict[bytes, bytes] = {}
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=self.kind).tobytes() for e in self.lib.encode_batch(texts, add_special_tokens=False)]
+        self.packers = [struct.Struct(f"<{n}{'H' if self.width == 2 else 'I'}").pack for n in range(64)]
+        if self.by_word:
+            self.added = [t["content"] for t in description.get("added_tokens", [])]
+            self.lower = '"Lowercase"' in json.dumps(description["normalizer"])
+            pre = description["pre_tokenizer"]
+            self.pattern = regex.compile(pre.get("pretokenizers", [pre])[0]["pattern"]["Regex"])
+            # Characters whose case, category and composition no Unicode version has changed.
+            self.plain = regex.compile(r"[\t-\r\x20-\x7e\xa1-\u012f\u0131-\u017f]*")
+            self.break_ = regex.compile(r"[\t-\r\x20]")
+            self.normaliser, self.cutter, self.model = self.lib.normalizer, self.lib.pre_tokenizer, self.lib.model
+            byte_level = [p for p in pre.get("pretokenizers", [pre]) if p["type"] == "ByteLevel"]
+            shown = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+            self.alphabet = {c: shown(chr(c))[0][0] for c in range(0xA1, 0x180)} if byte_level else {}
+            self.piece_ids, self.plain_ids, self.word_ids = Memo(self._piece), Memo(self._plain_word), Memo(self._word)
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        return self.packers[len(ids)](*ids) if len(ids) < 64 else np.array(ids, dtype=self.kind).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        cut = piece if piece.isascii() else piece.translate(self.alphabet)
+        return self._bytes([t.id for t in self.model.tokenize(cut)])
+
+    def _plain_word(self, word: str) -> bytes:
+        cut = self.pattern.findall(word.lower() if self.lower else word)
+        return self.piece_ids[cut[0]] if len(cut) == 1 else b"".join(map(self.piece_ids.__getitem__, cut))
+
+    def _word(self, word: str) -> bytes:
+        text = self.normaliser.normalize_str(word) if self.normaliser else word
+        return self._bytes([t.id for p, _ in self.cutter.pre_tokenize_str(text) for t in self.model.tokenize(p)])
+
+    def _segments(self, text: str) -> Iterator[str]:
+        at = 0
+        while at < len(text):
+            end = self.break_.search(text, at + SEGMENT)
+            end = end.end() if end else len(text)
+            yield text[at:end]
+            at = end
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if not self.by_word:
-            return self._library([text])[0]
-        words = text.encode("utf-8", "surrogatepass").split()
-        new = [w for w in set(words) if w not in self.memo]
-        if len(self.memo) + len(new) > MEMO_WORDS:
-            self.memo.clear()
-            new = list(set(words))
-        self.memo.update(zip(new, self._library([w.decode("utf-8", "surrogatepass") for w in new])))
-        out = b"".join(map(self.memo.__getitem__, words))
-        for w in new:
-            if len(w) > LONG_WORD:
-                del self.memo[w]
-        return out
+        if not self.by_word or any(a in text for a in self.added):
+            return self._bytes(self.lib.encode(text, add_special_tokens=False).ids)
+        out = []
+        for part in self._segments(text):
+            if self.plain.fullmatch(part):
+                out += map(self.plain_ids.__getitem__, part.split())
+            else:
+                out += map(self.word_ids.__getitem__, self.break_.split(part))
+        return b"".join(out)
 
 
 @functools.lru_cache(maxsize=2)
