@@ -22,8 +22,8 @@ served in proportion.  The number of prefixes and ranges follows the row count
 
 Defined results: a null text has size 0; documents without words cost nothing
 and are taken with the place they have in the order; a null id or source is a
-value like any other; rows equal in id, source and size are interchangeable
-and share what they are given; a source without words has target 0; an empty
+value like any other; rows of one id are told apart by their texts, and rows equal in id, source and text
+are interchangeable and share what they are given; a source without words has target 0; an empty
 table gives an empty result; extra columns are ignored.
 """
 
@@ -48,6 +48,10 @@ def _words(text: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def _digest(text: str) -> Column:
+    return F.md5(F.col(text).cast("binary"))
+
+
 def targets(sizes: DataFrame, weights=WEIGHTS, budget_share: float = BUDGET_SHARE, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """``(source, source_size, target)`` from ``(source, size)`` rows.
 
@@ -69,12 +73,12 @@ def targets(sizes: DataFrame, weights=WEIGHTS, budget_share: float = BUDGET_SHAR
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS,
         budget_share: float = BUDGET_SHARE, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
-    """``(doc_id, source, size, source_size, target, copies, taken)``, one row per
+    """``(doc_id, source, size, source_size, target, copies, taken, text_md5)``, one row per
     row of ``docs``: how often the mix takes the document and the words that makes."""
     setup(docs.sparkSession)
     key = F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit(""))).cast("binary"))
     rows = shared_table(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-                                    _words(text_col).alias("size"), key.alias("k")), "sizes")
+                                    _words(text_col).alias("size"), key.alias("k"), _digest(text_col).alias("d")), "sizes")
     goals = shared_table(targets(rows, weights, budget_share, max_epochs), "targets")
     n = rows.count()
     digits = max(2, math.ceil(math.log(max(1, n / ROWS_PER_RANGE), 16)))
@@ -85,20 +89,21 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     before = Window.partitionBy("s").orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
     part = part.select(F.col("s").alias("s2"), F.col("prefix").alias("prefix2"),
                        F.coalesce(F.sum("words").over(before), F.lit(0)).alias("before"))
-    inside = Window.partitionBy("s", "prefix").orderBy("k", F.col("doc_id").asc_nulls_last(), "size").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("run", F.sum("size").over(inside)).withColumn("nth", F.row_number().over(
-        Window.partitionBy("s", "prefix").orderBy("k", F.col("doc_id").asc_nulls_last(), "size")))
+    queue = Window.partitionBy("s", "prefix").orderBy("k", F.col("doc_id").asc_nulls_last(), "size", "d")
+    rows = rows.withColumn("run", F.sum("size").over(queue.rowsBetween(Window.unboundedPreceding, 0))).withColumn("nth", F.row_number().over(queue))
     rows = rows.join(part, (F.col("s") == F.col("s2")) & (F.col("prefix") == F.col("prefix2"))).withColumn("end", F.col("run") + F.col("before"))
     goal = goals.select(F.struct(F.col("source").alias("v")).alias("s3"), "source_size", "target")
     rows = rows.join(goal, F.col("s") == F.col("s3"))
     served = F.explode(F.sequence(F.lit(0), F.lit(max_epochs - 1))).alias("epoch")
-    turns = rows.select("doc_id", "source", "s", "prefix", "nth", "size", "k", "end", "source_size", "target", served)
+    turns = rows.select("doc_id", "source", "s", "prefix", "nth", "size", "k", "d", "end", "source_size", "target", served)
     time = F.when(F.col("target") > 0, (F.col("epoch") * F.col("source_size") + F.col("end")) / F.col("target")).otherwise(0.0)
     turns = shared_table(turns.withColumn("finish", time), "turns")
 
     # The global order, in ranges of virtual time.
     ranges = max(256, math.ceil(max_epochs * n / ROWS_PER_RANGE))
-    turns = turns.withColumn("range", F.floor(F.col("finish") * ranges).cast("long"))
+    # Sources without words come first and cost nothing: they need no place, so they are spread.
+    spread = -1 - F.pmod(F.xxhash64("k", "nth"), F.lit(ranges))
+    turns = turns.withColumn("range", F.when(F.col("target") > 0, F.floor(F.col("finish") * ranges).cast("long")).otherwise(spread))
     totals = turns.groupBy("range").agg(F.sum("size").alias("words"))
     totals = totals.select(F.col("range").alias("range2"), F.coalesce(F.sum("words").over(
         Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("earlier"))
@@ -109,20 +114,20 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     turns = turns.crossJoin(F.broadcast(budget))  # one row
     taken = (F.col("earlier") + F.col("place") <= F.col("budget") + F.lit(1e-6)).cast("long")
     out = turns.groupBy("s", "prefix", "nth").agg(
-        F.first("doc_id").alias("doc_id"), F.first("source").alias("source"), F.first("size").alias("size"),
+        F.first("doc_id").alias("doc_id"), F.first("source").alias("source"), F.first("size").alias("size"), F.first("d").alias("d"),
         F.first("source_size").alias("source_size"), F.first("target").alias("target"), F.sum(taken).alias("copies"))
-    return out.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    return out.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), F.col("d").alias("text_md5"))
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it, all columns
-    untouched.  Rows equal in id, source and size count as one document that
+    untouched.  Rows equal in id, source and text count as one document that
     is given the copies of all of them."""
     got = mix(docs, id_col, text_col, source_col, **options)
-    n = got.groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("c"), F.count(F.lit(1)).alias("m"))
-    n = shared_table(n.select(F.struct(F.col("doc_id").alias("a"), F.col("source").alias("b"), F.col("size").alias("c")).alias("__lf_key"),
+    n = got.groupBy("doc_id", "source", "text_md5").agg(F.sum("copies").alias("c"), F.count(F.lit(1)).alias("m"))
+    n = shared_table(n.select(F.struct(F.col("doc_id").alias("a"), F.col("source").alias("b"), F.col("text_md5").alias("c")).alias("__lf_key"),
                               F.struct("c", "m").alias("__lf_n")), "copies-of")
-    key = F.struct(F.col(id_col).alias("a"), F.col(source_col).cast("string").alias("b"), _words(text_col).alias("c"))
+    key = F.struct(F.col(id_col).alias("a"), F.col(source_col).cast("string").alias("b"), _digest(text_col).alias("c"))
     # Texts are moved by the same plan at every size.
     rows = docs.withColumn("__lf_row", key).hint("merge").join(n, F.col("__lf_row") == F.col("__lf_key")).where("__lf_n.c > 0")
     single, repeated = rows.where("__lf_n.m = 1"), rows.where("__lf_n.m > 1").dropDuplicates(["__lf_row"])

@@ -28,21 +28,22 @@ def query(name: str, sql: str | None = None):
 
 
 @query("op2_minhash", r"""
-WITH RECURSIVE w AS (SELECT doc_id AS i, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM documents),
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS i, doc_id, md5(text) AS x, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (SELECT i, array_to_string(w[k:k + 4], ' ') AS s FROM (
-        SELECT i, w, unnest(range(1, greatest(2, len(w) - 3))) AS k FROM w WHERE len(w) > 0)),
+        SELECT i, w, unnest(range(1, greatest(2, len(w) - 3))) AS k FROM d WHERE len(w) > 0)),
 c AS (SELECT i, s, count(*) AS n FROM s GROUP BY 1, 2),
 t AS (SELECT i, sum(n) AS n FROM c GROUP BY 1),
 m AS (SELECT a.i AS a, b.i AS b, sum(least(a.n, b.n)) AS n FROM c a JOIN c b ON a.s = b.s AND a.i < b.i GROUP BY 1, 2),
 l AS (SELECT m.a, m.b FROM m JOIN t x ON x.i = m.a JOIN t y ON y.i = m.b WHERE m.n >= 0.8 * (x.n + y.n - m.n)),
 e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
-r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
-SELECT a AS doc_id, min(b) AS class_id, min(b) = a AS kept FROM r GROUP BY a
+r AS (SELECT i AS a, i AS b FROM d UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+z AS (SELECT r.a, min(row(y.doc_id IS NULL, coalesce(y.doc_id, 0), y.x)) AS least, min(y.doc_id) AS class_id FROM r JOIN d y ON y.i = r.b GROUP BY r.a)
+SELECT doc_id, class_id, coalesce(least = row(doc_id IS NULL, coalesce(doc_id, 0), x), true) AS kept FROM z JOIN d ON d.i = z.a
 """)
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document; the document of the least id is kept."""
     got = minhash.near_duplicate_classes(read_table(spark, sf_dir, "documents"))
-    return got.select(F.col("id").alias("doc_id"), "class_id", (F.col("id") == F.col("class_id")).alias("kept"))
+    return got.select(F.col("id").alias("doc_id"), "class_id", "kept")
 
 
 @query("op5_sentencepiece")
