@@ -92,9 +92,9 @@ def flag(cond: Column) -> Column:
 def any_abs_exceeds(cols: Sequence[Column], threshold: float) -> Column:
     """True when |c| > threshold for any column of the row.
 
-    A null (NaN in the reference) never exceeds the threshold.
+    A null or NaN never exceeds the threshold (Spark itself orders NaN above all numbers).
     """
-    checks = [F.coalesce(F.abs(c) > F.lit(threshold), F.lit(False)) for c in cols]
+    checks = [F.coalesce((F.abs(c) > F.lit(threshold)) & ~F.isnan(c.cast("double")), F.lit(False)) for c in cols]
     out = checks[0]
     for c in checks[1:]:
         out = out | c

@@ -19,9 +19,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ledgerflow.functions.columns import any_abs_exceeds
-from ledgerflow.operators.features import column_moments
+from ledgerflow.operators.features import column_moments, present
 from ledgerflow.operators.quantiles import quantiles
-from ledgerflow.session import cpu_partitions, cut_lineage
+from ledgerflow.session import cpu_partitions, stored
 
 
 # --- M2: z-score -------------------------------------------------------------
@@ -31,16 +31,16 @@ def zscore_flags(df: DataFrame, cols: Sequence[str], threshold: float = 3.0,
     """Flag rows with ``|z| > threshold`` in any column (M2, ddof 0).
 
     ``null_policy='propagate'`` reproduces the reference: a column holding any
-    null has no z-scores at all, so it never flags.  ``'omit'`` scores the
-    non-null values of such a column."""
+    null or NaN has no z-scores at all, so it never flags.  ``'omit'`` scores the
+    present values of such a column.  Constant columns and those holding an infinite value have no
+    z-scores either."""
     mom = column_moments(df, cols, fill=False)
     zs = []
     for c in cols:
-        m, s, n_null = mom[c]
-        if m is None or (null_policy == "propagate" and n_null):
+        m, s, n_missing = mom[c]
+        if (null_policy == "propagate" and n_missing) or not s or not math.isfinite(m) or not math.isfinite(s):
             continue
-        z = (F.col(c).cast("double") - F.lit(m)) / F.lit(s if s else float("nan"))
-        zs.append(z)
+        zs.append((present(c) - F.lit(m)) / F.lit(s))
     flag = any_abs_exceeds(zs, threshold) if zs else F.lit(False)
     return df.withColumn("anomaly_score", flag.cast("int"))
 
@@ -118,8 +118,8 @@ def isolation_forest(df: DataFrame, cols: Sequence[str], key: str, n_trees: int
     ``applyInPandas`` group each; the forest (at most trees x (2 x sample_size - 1)
     nodes) is collected and broadcast.  Scoring appends a column to the Arrow
     batches of the table: no row is moved or joined.  Rows whose score exceeds the
-    exact ``1 - contamination`` quantile are flagged; the quantile is taken from a
-    checkpoint of the scores alone.
+    exact ``1 - contamination`` quantile are flagged; the scored table is written once, and the quantile
+    and the result are read from it.  An empty table gives an empty result.
     """
     cols = list(cols)
     n = df.count()
@@ -162,8 +162,8 @@ def isolation_forest(df: DataFrame, cols: Sequence[str], key: str, n_trees: int
             h = np.mean([_path_lengths(xs, t) for t in bc.value], axis=0) if len(xs) else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.power(2.0, -h / cpsi))], schema=arrow)
 
-    scored = df.mapInArrow(score, out_schema)
-    cut = quantiles(cut_lineage(scored.select("iso_score")), ["iso_score"], [1.0 - contamination]).first()
+    scored = stored(df.mapInArrow(score, out_schema), "forest-scores")
+    cut = quantiles(scored, ["iso_score"], [1.0 - contamination]).first()
     return scored.withColumn("anomaly_score", (F.col("iso_score") > F.lit(cut["value"] if cut else 1.0)).cast("int"))
 
 
@@ -189,8 +189,10 @@ def kmeans_distance(df: DataFrame, cols: Sequence[str], centres: Sequence[Sequen
     percentile (M4).  ``centres`` given -> deterministic assignment (used by
     the SQL check); otherwise MLlib k-means (k-means|| init, distributed
     Lloyd iterations) fits them.  Distances are JVM expressions against the
-    k literal centres; the threshold is an exact quantile."""
+    k literal centres; the threshold is an exact quantile.  An empty table gives an empty result."""
     cols = list(cols)
+    if df.isEmpty():
+        return df.withColumns({"distance_from_centroid": F.lit(0.0), "cluster": F.lit(0), "anomaly_score": F.lit(0)})
     if centres is None:
         from pyspark.ml.clustering import KMeans
         from pyspark.ml.feature import VectorAssembler
@@ -204,5 +206,6 @@ def kmeans_distance(df: DataFrame, cols: Sequence[str], centres: Sequence[Sequen
     for i in reversed(range(len(d))):
         cluster = F.when(d[i] == dist, F.lit(i)).otherwise(cluster)
     out = df.withColumn("distance_from_centroid", dist).withColumn("cluster", cluster)
-    cut = quantiles(out, ["distance_from_centroid"], [quantile]).first()["value"]
+    cut = quantiles(out, ["distance_from_centroid"], [quantile]).first()
+    cut = cut["value"] if cut else None  # no row has all its values
     return out.withColumn("anomaly_score", (F.col("distance_from_centroid") > F.lit(cut)).cast("int"))

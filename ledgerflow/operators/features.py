@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.columns import columns_of_type
@@ -41,17 +41,25 @@ def top_features(importances: DataFrame, k: int = 20) -> list[str]:
     return [r["feature"] for r in importances.orderBy(F.col("importance").desc(), "feature").limit(k).collect()]
 
 
-def column_moments(df: DataFrame, cols: Sequence[str], fill: bool) -> dict[str, tuple[float, float]]:
-    """Mean and population std per column in one aggregate (2 numbers per
-    column come back to the driver)."""
+def column_moments(df: DataFrame, cols: Sequence[str], fill: bool) -> dict[str, tuple[float, float, int]]:
+    """Mean, population std and number of missing values (null and NaN) per column in one
+    aggregate (a few numbers per column come back to the driver).  The std of a
+    constant column is exactly 0.  ``fill`` counts missing values as 0."""
     exprs = []
     for i, c in enumerate(cols):
-        x = F.coalesce(F.col(c).cast("double"), F.lit(0.0)) if fill else F.col(c).cast("double")
-        exprs += [F.avg(x).alias(f"m{i}"), F.stddev_pop(x).alias(f"s{i}"), F.count_if(x.isNull()).alias(f"n{i}")]
+        x = present(c)
+        y = F.coalesce(x, F.lit(0.0)) if fill else x
+        exprs += [F.avg(y).alias(f"m{i}"), F.when(F.min(y) < F.max(y), F.stddev_pop(y)).when(F.count(y) > 0, 0.0).alias(f"s{i}"),
+                  F.count_if(x.isNull()).alias(f"n{i}")]
     row = df.agg(*exprs).first()
     return {c: (row[f"m{i}"], row[f"s{i}"], row[f"n{i}"]) for i, c in enumerate(cols)}
 
 
+def present(c: str) -> Column:
+    """A column as double, NaN as null."""
+    return F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double"))
+
+
 def standardize(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (), suffix: str = "") -> DataFrame:
     """``(x - mean) / std`` with ddof 0 after filling nulls with 0 (M1);
     a zero std divides by 1, as the reference's scaler does."""
@@ -60,6 +68,6 @@ def standardize(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (), su
     for c in cols:
         m, s, _ = mom[c]
         s = s if s else 1.0
-        x = F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+        x = F.coalesce(present(c), F.lit(0.0))
         out.append(((x - F.lit(m)) / F.lit(s)).alias(c + suffix))
     return df.select(*out)

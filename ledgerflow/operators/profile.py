@@ -7,30 +7,34 @@ of jobs regardless of the column count (wide aggregates, one unpivot).
 
 from __future__ import annotations
 
+import functools
 import math
+import operator
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.columns import columns_of_type
-from ledgerflow.functions.money import cents
-from ledgerflow.operators.quality import data_types, duplicate_count, null_counts, top_values
-from ledgerflow.operators.quantiles import _default_buckets, bucketize, quantiles, rank_spans, unpivot
+from ledgerflow.operators.comoments import pair_correlations
+from ledgerflow.operators.quality import data_types, top_values
+from ledgerflow.operators.quantiles import _default_buckets, bucketize, rank_spans
 from ledgerflow.operators.sampling import simple_sample, stratified_sample
-from ledgerflow.session import cut_lineage
+from ledgerflow.operators.value_index import ValueIndex, build
+from ledgerflow.session import stored
 
 PROFILE_QUANTILES = [0.05, 0.25, 0.5, 0.75, 0.95]
 
 
-def overview(df: DataFrame) -> DataFrame:
+def overview(df: DataFrame, index: ValueIndex | None = None) -> DataFrame:
     """Rows, columns, missing cells, duplicate rows -> ``(metric, value)``."""
+    index = index or build(df)
     parts = [
-        df.agg(F.lit("rows").alias("metric"), F.count(F.lit(1)).alias("value")),
-        df.agg(F.lit("columns").alias("metric"), F.lit(len(df.columns)).cast("long").alias("value")),
-        null_counts(df).agg(F.lit("missing_cells").alias("metric"),
-                            F.coalesce(F.sum("missing"), F.lit(0)).cast("long").alias("value")),
-        duplicate_count(df).select(F.lit("duplicate_rows").alias("metric"), F.col("duplicates").alias("value")),
+        index.rows().select(F.lit("rows").alias("metric"), F.col("n").alias("value")),
+        df.sparkSession.createDataFrame([("columns", len(df.columns))], "metric string, value long"),
+        index.null_counts().agg(F.lit("missing_cells").alias("metric"),
+                                F.coalesce(F.sum("missing"), F.lit(0)).cast("long").alias("value")),
+        index.duplicates().select(F.lit("duplicate_rows").alias("metric"), F.col("duplicates").alias("value")),
     ]
     out = parts[0]
     for p in parts[1:]:
@@ -39,30 +43,19 @@ def overview(df: DataFrame) -> DataFrame:
 
 
 def numeric_profile(df: DataFrame, cols: Sequence[str] | None = None,
-                    money: Sequence[str] = ()) -> DataFrame:
+                    money: Sequence[str] = (), index: ValueIndex | None = None) -> DataFrame:
     """Per numeric column n, distinct, zeros, negatives, mean, std, cv,
     skewness (sample-adjusted), kurtosis (population excess), min, max,
-    5/25/50/75/95 % quantiles (exact) and IQR -> one row per column.
-    Columns in ``money`` (two decimals) get their mean from exact cents."""
+    5/25/50/75/95 % quantiles (exact) and IQR -> one row per column, from one value-frequency index.
+    Columns in ``money`` (two decimals) get their mean from exact cents.  What has a zero
+    denominator (cv at mean 0, skewness of two rows, both of a constant column) is null."""
     cols = list(cols or columns_of_type(df, "numeric"))
-    long = unpivot(df, cols)
-    exact_mean = F.sum(F.when(F.col("column").isin(list(money) or [""]), cents(F.col("v")))).cast("double") \
-        / (F.count(F.lit(1)) * 100).cast("double")
-    mom = long.groupBy("column").agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct("v").alias("distinct"),
-        F.count_if(F.col("v") == 0).alias("zeros"), F.count_if(F.col("v") < 0).alias("negatives"),
-        F.when(F.first(F.col("column").isin(list(money) or [""])), exact_mean).otherwise(F.avg("v")).alias("mean"), F.stddev_samp("v").alias("std"),
-        F.skewness("v").alias("_skew_pop"), F.kurtosis("v").alias("kurtosis"),
-        F.min("v").alias("min"), F.max("v").alias("max"))
-    n = F.col("n").cast("double")
-    mom = mom.withColumn("skewness", F.col("_skew_pop") * F.sqrt(n * (n - 1)) / (n - 2)).drop("_skew_pop")
-    mom = mom.withColumn("cv", F.col("std") / F.col("mean"))
-    q = quantiles(df, cols, PROFILE_QUANTILES).groupBy("column").pivot(
-        "prob", PROFILE_QUANTILES).agg(F.first("value"))
-    names = {str(p): f"p{int(round(p * 100)):02d}" for p in PROFILE_QUANTILES}
-    q = q.select("column", *[F.col(f"`{k}`").alias(v) for k, v in names.items()])
-    out = mom.join(q, "column", "left").withColumn("iqr", F.col("p75") - F.col("p25"))
-    return out
+    index = index or build(df.select(*[F.col(f"`{c}`") for c in cols]))
+    mom = index.moments(cols, money).withColumnRenamed("count", "n")
+    mom = mom.withColumn("cv", F.col("std") / F.nullif("mean", F.lit(0.0)))
+    q = index.quantiles(cols, PROFILE_QUANTILES).groupBy("column").agg(*[
+        F.max(F.when(F.col("prob") == p, F.col("value"))).alias(f"p{int(round(p * 100)):02d}") for p in PROFILE_QUANTILES])
+    return mom.join(q, "column", "left").withColumn("iqr", F.col("p75") - F.col("p25"))
 
 
 def categorical_profile(df: DataFrame, cols: Sequence[str] | None = None, k: int = 5) -> DataFrame:
@@ -95,49 +88,56 @@ def timestamp_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataF
 
 
 def correlations(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """P5: Pearson correlation of every column pair in one aggregate ->
-    ``(column_a, column_b, pearson)``."""
-    cols = list(cols or columns_of_type(df, "numeric"))
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}")
-                    for i, (a, b) in enumerate(pairs)])
-    args = ", ".join(f"'{a}', '{b}', `c{i}`" for i, (a, b) in enumerate(pairs))
-    return wide.select(F.expr(f"stack({len(pairs)}, {args}) AS (column_a, column_b, pearson)"))
+    """P5: Pearson correlation of every column pair over the rows that have both values ->
+    ``(column_a, column_b, pearson)``, from one pass of packed co-moments; null with a constant column."""
+    return pair_correlations(df, list(cols or columns_of_type(df, "numeric")))
 
 
 def rank_correlations(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """P5: Spearman correlation of every column pair, the Pearson correlation of
-    average ranks -> ``(column_a, column_b, spearman)``.
+    average ranks -> ``(column_a, column_b, spearman)``; null with a constant column.
 
-    A pair is ranked over the rows that have both values: the columns without a
-    missing value are ranked once together, every other pair on its own rows."""
+    A pair is ranked over the rows that have both values.  The columns without a missing value are one
+    *group*, ranked together; every other pair is a group of two.  All groups go through the
+    same few jobs, however many there are."""
     cols = list(cols or columns_of_type(df, "numeric"))
-    missing = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)]).first()
-    complete = [c for i, c in enumerate(cols) if not missing[f"n{i}"]]
-    parts = [_rank_correlations(df, complete)] if len(complete) > 1 else []
-    for i, a in enumerate(cols):
-        for b in cols[i + 1:]:
-            if a not in complete or b not in complete:
-                parts.append(_rank_correlations(df.filter(F.col(a).isNotNull() & F.col(b).isNotNull()), [a, b]))
-    if not parts:
-        return df.sparkSession.createDataFrame([], "column_a string, column_b string, spearman double")
+    x = df.select(*[F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")).alias(f"x{i}") for i, c in enumerate(cols)])
+    names = x.columns
+    missing = x.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in names]).first()
+    whole = [i for i, c in enumerate(names) if not missing[c]]
+    groups = ([whole] if len(whole) > 1 else []) + [
+        [i, j] for i in range(len(cols)) for j in range(i + 1, len(cols)) if missing[names[i]] or missing[names[j]]]
+    schema = "column_a string, column_b string, spearman double"
+    if not groups:
+        return df.sparkSession.createDataFrame([], schema)
+    rows = stored(bucketize(x, names, _default_buckets(x)).withColumn("_row", F.monotonically_increasing_id()), "rank-rows")
+    items = F.concat(*[F.when(functools.reduce(operator.and_, [F.col(names[i]).isNotNull() for i in g]), F.array(*[
+        F.struct(F.lit(k).alias("g"), F.lit(i).alias("i"), F.col(names[i]).alias("v"), F.col(f"{names[i]}__b").alias("b")) for i in g]))
+        .otherwise(F.array().cast("array<struct<g:int,i:int,v:double,b:double>>")) for k, g in enumerate(groups)])
+    long = rows.select("_row", F.explode(items).alias("_s")).select("_row", "_s.*")
+    ranks = rank_spans(long, ["g", "i"]).select("g", "i", "v", ((F.col("first") + F.col("last")) / 2).alias("rank"), ((F.col("total") - 1) / 2).alias("middle"))
+    ranked = long.join(ranks, ["g", "i", "v"])
+    parts = []
+    if len(whole) > 1:
+        together = ranked.filter(F.col("g") == 0).groupBy("_row").agg(
+            *[F.max(F.when(F.col("i") == i, F.col("rank"))).alias(cols[i]) for i in whole])
+        parts.append(pair_correlations(together, [cols[i] for i in whole], "spearman"))
+    pairs = [(k, cols[g[0]], cols[g[1]], g[0]) for k, g in enumerate(groups) if len(whole) < 2 or k]
+    if pairs:
+        every = df.sparkSession.createDataFrame(pairs, "g int, column_a string, column_b string, a int")
+        two = ranked.join(F.broadcast(every.select("g", "a")), "g").groupBy("g", "_row").agg(
+            F.max(F.when(F.col("i") == F.col("a"), F.col("rank") - F.col("middle"))).alias("da"),  # about the mean rank
+            F.max(F.when(F.col("i") != F.col("a"), F.col("rank") - F.col("middle"))).alias("db"))
+        varied = (F.min("da") < F.max("da")) & (F.min("db") < F.max("db"))
+        r = F.sum(F.col("da") * F.col("db")) / F.nullif(F.sqrt(F.sum(F.col("da") ** 2)) * F.sqrt(F.sum(F.col("db") ** 2)), F.lit(0.0))
+        two = two.groupBy("g").agg(F.when(varied, r).alias("spearman"))
+        parts.append(every.join(two, "g", "left").select("column_a", "column_b", "spearman"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
-def _rank_correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    bucketed = bucketize(df.select(*cols), cols, _default_buckets(df)).withColumn("_row", F.monotonically_increasing_id())
-    rows = cut_lineage(bucketed)  # the row numbers must not change between the ranks and the join
-    long = rows.select("_row", F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).alias("v"), F.col(f"{c}__b").alias("b")) for c in cols])).alias("_s")).select("_row", "_s.*")
-    ranks = rank_spans(long, ["column"]).select("column", "v", ((F.col("first") + F.col("last")) / 2).alias("rank"))
-    ranked = long.join(ranks, ["column", "v"]).groupBy("_row").agg(
-        *[F.max(F.when(F.col("column") == c, F.col("rank"))).alias(c) for c in cols])
-    return correlations(ranked, cols).withColumnRenamed("pearson", "spearman")
-
-
 def associations(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """P5: Cramer's V of every pair of categorical columns, from pair counts over
     the rows that have both values -> ``(column_a, column_b, cramers_v)``; null where
@@ -180,9 +180,10 @@ def profile(df: DataFrame, mode: str = "full", fraction: float = 0.2, stratum: s
         df = stratified_sample(df, fraction, stratum, key, seed)
     elif mode != "full":
         raise ValueError(f"unknown mode {mode!r}")
-    out = {"overview": overview(df), "types": data_types(df), "missing_patterns": missing_patterns(df)}
+    index = build(df)
+    out = {"overview": overview(df, index), "types": data_types(df), "missing_patterns": missing_patterns(df)}
     if columns_of_type(df, "numeric"):
-        out["numeric"] = numeric_profile(df)
+        out["numeric"] = numeric_profile(df, index=index)
         out["correlations"] = correlations(df)
         out["rank_correlations"] = rank_correlations(df)
     if columns_of_type(df, "categorical"):

@@ -190,20 +190,23 @@ def quality_report(df: DataFrame, method: str = "exact", rel_err: float = 0.05,
     ``(section, column, metric, value double, text string)``; ``text`` holds
     the type name and the mode, ``value`` every number.
 
-    Jobs: null counts, distinct counts and the summary are one scan each; the
-    duplicate count and the modes are one shuffle each; outliers are one
-    quantile job plus one aggregate.  None of this grows with the column count.
+    The exact report is read from one value-frequency index (``operators/value_index.py``), which scans the
+    table once; the duplicates read again the rows whose digest occurs twice.  ``method='approx'``
+    takes the fences from sketches, ``exact_distinct=False`` the distinct counts.
     """
+    from ledgerflow.operators.value_index import build
+
     num = columns_of_type(df, "numeric")
     cat = columns_of_type(df, "categorical")
+    index = build(df)
     d = lambda c: F.col(c).cast("double")
     no_text = F.lit(None).cast("string").alias("text")
     parts = [
-        null_counts(df).select(F.lit("missing_values").alias("section"), "column",
-                               F.lit("count").alias("metric"), d("missing").alias("value"), no_text),
-        duplicate_count(df).select(F.lit("duplicates").alias("section"), F.lit("*").alias("column"),
-                                   F.lit("count").alias("metric"), d("duplicates").alias("value"), no_text),
-        distinct_counts(df, exact=exact_distinct).select(
+        index.null_counts().select(F.lit("missing_values").alias("section"), "column",
+                                   F.lit("count").alias("metric"), d("missing").alias("value"), no_text),
+        index.duplicates().select(F.lit("duplicates").alias("section"), F.lit("*").alias("column"),
+                                  F.lit("count").alias("metric"), d("duplicates").alias("value"), no_text),
+        (index.distinct_counts() if exact_distinct else distinct_counts(df, exact=False)).select(
             F.lit("unique_values").alias("section"), "column", F.lit("count").alias("metric"),
             d("distinct").alias("value"), no_text),
     ]
@@ -212,18 +215,18 @@ def quality_report(df: DataFrame, method: str = "exact", rel_err: float = 0.05,
                                            F.lit("dtype").alias("metric"), F.lit(None).cast("double").alias("value"),
                                            F.col("dtype").alias("text")))
     if num:
-        summ = numeric_summary(df, num)
-        parts.append(summ.select(
+        parts.append(index.moments(num).select(
             F.lit("numeric_summary").alias("section"), "column",
             F.expr("stack(5, 'count', CAST(count AS DOUBLE), 'mean', mean, 'stddev', std, "
                    "'min', min, 'max', max) AS (metric, value)"), no_text))
-        parts.append(iqr_outliers(df, num, method=method, rel_err=rel_err).select(
+        fences = index.iqr_outliers(num) if method == "exact" else iqr_outliers(df, num, method=method, rel_err=rel_err)
+        parts.append(fences.select(
             F.lit("outliers").alias("section"), "column", F.lit("count").alias("metric"),
             d("outliers").alias("value"), no_text))
     if cat:
-        parts.append(modes(df, cat).select(F.lit("most_frequent").alias("section"), "column",
-                                           F.lit("mode").alias("metric"), d("count").alias("value"),
-                                           F.col("mode").alias("text")))
+        parts.append(index.modes(cat).select(F.lit("most_frequent").alias("section"), "column",
+                                             F.lit("mode").alias("metric"), d("count").alias("value"),
+                                             F.col("mode").alias("text")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -24,6 +24,7 @@ error about ``n / accuracy``), the reference's own choice.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -52,7 +53,8 @@ def bucket_bounds(df: DataFrame, cols: Sequence[str], buckets: int) -> dict[str,
     probs = [i / buckets for i in range(1, buckets)]
     row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, 4 * buckets).alias(c)
                    for c in cols]).first()
-    return {c: sorted(set(x for x in (row[c] or []) if x is not None)) for c in cols}
+    # Infinite values stay in the outer buckets; NaN is no value.
+    return {c: sorted(set(x for x in (row[c] or []) if x is not None and math.isfinite(x))) for c in cols}
 
 
 # Rows per bucket aimed at, and the most buckets a bounds sketch is asked for.
@@ -123,7 +125,8 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         F.first("pos").alias("pos"))
     frac = F.col("pos") - F.floor("pos")
     return picked.select("column", "prob",
-                         (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * frac).alias("value"))
+                         F.when((frac == 0) | (F.col("v_lo") == F.col("v_hi")), F.col("v_lo"))
+                         .otherwise(F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * frac).alias("value"))
 
 
 def approx_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],

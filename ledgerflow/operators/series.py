@@ -8,12 +8,10 @@ number of days, not of transactions); many series run in parallel.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.session import cpu_partitions
+from ledgerflow.functions.normal import inverse_normal
 
 
 def daily_series(df: DataFrame, series: str | None, ts: str, value_expr, gap_policy: str = "error",
@@ -79,9 +77,10 @@ def acf(s: DataFrame, nlags: int = 50, value: str = "value") -> DataFrame:
     """Sample autocorrelation per series, lags 0..nlags clipped to n-1 (K2):
     ``sum((x_t - m)(x_{t+k} - m)) / sum((x_t - m)^2)``, with the 95 % Bartlett
     band ``1.96 * sqrt((1 + 2 * sum_{j<k} r_j^2) / n)``.  A self-join on
-    ``t + lag`` inside each series; lags are an exploded literal array."""
+    ``t + lag`` inside each series; lags are an exploded literal array.  A constant series has no
+    autocorrelation (null)."""
     x = with_index(s.filter(F.col(value).isNotNull()).withColumnRenamed(value, "_x"))
-    stats = x.groupBy("series").agg(F.avg("_x").alias("_m"), F.count(F.lit(1)).alias("n"))
+    stats = x.groupBy("series").agg(F.when(F.min("_x") < F.max("_x"), F.avg("_x")).otherwise(F.min("_x")).alias("_m"), F.count(F.lit(1)).alias("n"))
     c = x.join(stats, "series").withColumn("_d", F.col("_x") - F.col("_m"))
     left = c.select("series", "t", "_d", "n", F.explode(F.sequence(F.lit(0), F.lit(nlags))).alias("lag")) \
             .filter(F.col("lag") < F.col("n"))
@@ -89,62 +88,55 @@ def acf(s: DataFrame, nlags: int = 50, value: str = "value") -> DataFrame:
     j = left.join(right, (left.series == right.series) & (right._t2 == left.t + left.lag)).drop(right.series)
     num = j.groupBy("series", "lag").agg(F.sum(F.col("_d") * F.col("_d2")).alias("_num"), F.first("n").alias("n"))
     den = c.groupBy("series").agg(F.sum(F.col("_d") * F.col("_d")).alias("_den"))
-    r = num.join(den, "series").withColumn("acf", F.col("_num") / F.col("_den"))
+    r = num.join(den, "series").withColumn("acf", F.col("_num") / F.nullif("_den", F.lit(0.0)))
     w = Window.partitionBy("series").orderBy("lag").rowsBetween(Window.unboundedPreceding, -1)
     sq = F.coalesce(F.sum(F.when(F.col("lag") > 0, F.col("acf") ** 2)).over(w), F.lit(0.0))
     band = F.when(F.col("lag") == 0, F.lit(0.0)).otherwise(1.96 * F.sqrt((1 + 2 * sq) / F.col("n")))
     return r.select("series", "lag", "acf", band.alias("band"), "n")
 
 
-def _levinson_durbin(r: np.ndarray) -> np.ndarray:
-    """PACF from autocorrelations r[0..K] (Durbin-Levinson recursion)."""
-    k_max = len(r) - 1
-    pacf = np.zeros(k_max + 1)
-    pacf[0] = 1.0
-    phi = np.zeros(k_max + 1)
-    v = r[0]
-    for k in range(1, k_max + 1):
-        a = (r[k] - np.dot(phi[1:k], r[1:k][::-1])) / v
-        new = phi.copy()
-        new[k] = a
-        new[1:k] = phi[1:k] - a * phi[1:k][::-1]
-        phi = new
-        v *= (1 - a * a)
-        pacf[k] = a
-    return pacf
-
-
 def pacf(s: DataFrame, nlags: int = 50) -> DataFrame:
     """Partial autocorrelation per series (K3), Yule-Walker on the
     unadjusted ACF ('ywm').  Lags are clipped below n/2 as the library does.
-    The per-series step is ``applyInPandas`` over at most ``nlags + 1`` rows."""
-    r = acf(s, nlags)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("lag")
-        n = int(pdf["n"].iloc[0])
-        k = min(nlags, n // 2 - 1)
-        vals = pdf["acf"].to_numpy()[: k + 1]
-        out = _levinson_durbin(vals) if k >= 1 else np.array([1.0])
-        return pd.DataFrame({"series": pdf["series"].iloc[0], "lag": np.arange(len(out)),
-                             "pacf": out, "band": 1.96 / np.sqrt(n)})
+    Durbin-Levinson as a fold over the lags: the state is the coefficients of the last order, the
+    innovation variance and the values so far, at most ``nlags`` numbers each.  Null for a
+    constant series, and beyond an order that leaves no variance."""
+    a = acf(s, nlags).groupBy("series").agg(F.transform(F.array_sort(F.collect_list(F.struct("lag", "acf"))), lambda x: x["acf"]).alias("r"),
+                                            F.first("n").alias("n"))
+    last = F.least(F.lit(nlags), F.floor(F.col("n") / 2) - 1).cast("int")
+
+    def step(state, k):
+        phi = state["phi"]
+        past = F.reverse(F.slice(F.col("r"), F.lit(2), k - 1))
+        seen = F.aggregate(F.zip_with(phi, past, lambda p, x: p * x), F.lit(0.0), lambda t, x: t + x)
+        new = (F.get(F.col("r"), k) - seen) / F.nullif(state["v"], F.lit(0.0))
+        one = F.array(new)  # bound once by the transform below
+
+        def grown(x):
+            return F.struct(F.concat(F.zip_with(phi, F.reverse(phi), lambda p, q: p - x * q), F.array(x)).alias("phi"),
+                            (state["v"] * (1 - x * x)).alias("v"), F.concat(state["out"], F.array(x)).alias("out"))
 
-    n = cpu_partitions(s.sparkSession)
-    return r.repartition(n, "series").groupBy("series").applyInPandas(
-        run, "series string, lag int, pacf double, band double")
+        return F.get(F.transform(one, grown), F.lit(0))
+
+    start = F.struct(F.array().cast("array<double>").alias("phi"), F.get("r", F.lit(0)).alias("v"), F.array(F.get("r", F.lit(0))).alias("out"))
+    orders = F.when(last >= 1, F.sequence(F.lit(1), F.greatest(last, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+    got = a.select("series", "n", F.aggregate(orders, start, step, lambda x: x["out"]).alias("out"))
+    return got.select("series", F.posexplode("out").alias("lag", "pacf"), (F.lit(1.96) / F.sqrt("n")).alias("band"))
 
 
 def residual_diagnostics(resid: DataFrame, value: str = "resid", lb_lags=(1, 10)) -> DataFrame:
     """Per series (K8): Ljung-Box Q at the given lags, Jarque-Bera, the
     two-sided variance ratio H (last third over first third), skewness and
-    (non-excess) kurtosis of the residuals (population moments)."""
+    (non-excess) kurtosis of the residuals (population moments).  What a
+    constant series, or one without variance at its start, would divide by zero is null."""
     x = resid.filter(F.col(value).isNotNull()).select("series", "day", F.col(value).alias("r"))
-    mom = x.groupBy("series").agg(F.count(F.lit(1)).alias("n"), F.avg("r").alias("m"))
+    mom = x.groupBy("series").agg(F.count(F.lit(1)).alias("n"), F.when(F.min("r") < F.max("r"), F.avg("r")).otherwise(F.min("r")).alias("m"))
     y = x.join(mom, "series").withColumn("d", F.col("r") - F.col("m"))
     m = y.groupBy("series").agg(F.first("n").alias("n"), F.avg(F.col("d") ** 2).alias("m2"),
                                 F.avg(F.col("d") ** 3).alias("m3"), F.avg(F.col("d") ** 4).alias("m4"))
-    m = m.select("series", "n", (F.col("m3") / F.pow("m2", 1.5)).alias("skew"),
-                 (F.col("m4") / F.col("m2") ** 2).alias("kurtosis"))
+    m = m.select("series", "n", (F.col("m3") / F.nullif(F.pow("m2", F.lit(1.5)), F.lit(0.0))).alias("skew"),
+                 (F.col("m4") / F.nullif(F.col("m2") ** 2, F.lit(0.0))).alias("kurtosis"))
     m = m.withColumn("jarque_bera", F.col("n") / 6 * (F.col("skew") ** 2 + (F.col("kurtosis") - 3) ** 2 / 4))
     # Heteroskedasticity: sum of squares of the last h over the first h values.
     t = with_index(x.withColumnRenamed("r", "value")).join(mom.select("series", "n"), "series")
@@ -152,7 +144,7 @@ def residual_diagnostics(resid: DataFrame, value: str = "resid", lb_lags=(1, 10)
     hs = t.groupBy("series").agg(
         F.sum(F.when(F.col("t") >= F.col("n") - h, F.col("value") ** 2)).alias("_last"),
         F.sum(F.when(F.col("t") < h, F.col("value") ** 2)).alias("_first"))
-    hs = hs.select("series", (F.col("_last") / F.col("_first")).alias("het_h"))
+    hs = hs.select("series", (F.col("_last") / F.nullif("_first", F.lit(0.0))).alias("het_h"))
     a = acf(x.withColumnRenamed("r", "value"), max(lb_lags))
     lb = a.filter(F.col("lag") > 0).select(
         "series", "lag", (F.col("n") * (F.col("n") + 2) * F.col("acf") ** 2 / (F.col("n") - F.col("lag"))).alias("q"))
@@ -163,18 +155,11 @@ def residual_diagnostics(resid: DataFrame, value: str = "resid", lb_lags=(1, 10)
 
 def qq_points(resid: DataFrame, value: str = "resid") -> DataFrame:
     """Normal Q-Q points per series (K9): sorted residual against the N(0,1)
-    quantile of ``i / (n + 1)``.  The inverse normal is a vectorised pandas
-    UDF (numpy has no ndtri); rank comes from a per-series window."""
-    from statistics import NormalDist
-
+    quantile of ``i / (n + 1)``; ranks from a per-series window, quantiles from rational
+    approximations as column expressions."""
     x = resid.filter(F.col(value).isNotNull())
     w = Window.partitionBy("series").orderBy(value, "day")
     y = x.select("series", "day", F.col(value).alias("sample"), F.row_number().over(w).alias("i"),
                  F.count(F.lit(1)).over(Window.partitionBy("series")).alias("n"))
-    nd = NormalDist()
-
-    @F.pandas_udf("double")
-    def inv_norm(p: pd.Series) -> pd.Series:
-        return p.map(nd.inv_cdf)
-
-    return y.select("series", "day", "i", "sample", inv_norm(F.col("i") / (F.col("n") + 1)).alias("theoretical"))
+    y = y.withColumn("p", F.col("i") / (F.col("n") + 1).cast("double"))
+    return y.select("series", "day", "i", "sample", inverse_normal("p").alias("theoretical"))

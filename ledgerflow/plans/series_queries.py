@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgerflow.functions.normal import inverse_normal_sql
 from ledgerflow.operators.joins import aligned_difference
 from ledgerflow.operators.series import (acf, daily_series, decompose, pacf, qq_points,
                                          residual_diagnostics)
@@ -89,10 +90,28 @@ def k2_acf_orders(spark, sf_dir):
     return rounded(acf(order_counts(spark, sf_dir), NLAGS))
 
 
-@register("k3_pacf_orders")
+def _pacf_sql(base_ctes):
+    acf_ctes = _acf_sql(base_ctes)
+    return acf_ctes[:acf_ctes.index("SELECT series, lag, round(acf, 6)")].rstrip() + f""",
+q AS (SELECT series, list(acf ORDER BY lag) AS r, any_value(n) AS n, least({NLAGS}, any_value(n) // 2 - 1) AS last FROM r GROUP BY series)
+SELECT * FROM (
+WITH RECURSIVE f AS (SELECT series, r, n, last, 0 AS k, CAST([] AS DOUBLE[]) AS phi, r[1] AS v, r[1] AS pacf FROM q
+      UNION ALL
+      SELECT series, r, n, last, k + 1, list_concat([phi[j] - x * phi[k + 1 - j] FOR j IN range(1, k + 1)], [x]), v * (1 - x * x), x
+      FROM (SELECT *, (r[k + 2] - coalesce(list_sum([phi[j] * r[k + 2 - j] FOR j IN range(1, k + 1)]), 0)) / v AS x FROM f WHERE k < last))
+SELECT series, CAST(k AS INTEGER) AS lag, round(pacf, 6) AS pacf, round(1.96 / sqrt(n), 6) AS band FROM f)"""
+
+
+@register("k3_pacf_orders", views=("tx_orders",), sql=_pacf_sql(_ORDER_COUNTS))
 def k3_pacf_orders(spark, sf_dir):
     """K3: PACF (Yule-Walker, Durbin-Levinson per series) to lag 50."""
-    return pacf(order_counts(spark, sf_dir), NLAGS)
+    return rounded(pacf(order_counts(spark, sf_dir), NLAGS))
+
+
+@register("k3_pacf_card", views=("tx_card",), sql=_pacf_sql(_CARD_RATE))
+def k3_pacf_card(spark, sf_dir):
+    """K3: PACF of the daily fraud rate, lags below half its length."""
+    return rounded(pacf(card_rate(spark, sf_dir), NLAGS))
 
 
 def _diag_sql(base_ctes):
@@ -127,11 +146,21 @@ def k8_residual_diagnostics(spark, sf_dir):
                                                                  "ljung_box_1", "ljung_box_10"])
 
 
-@register("k9_qq_points")
+def _qq_sql(base_ctes):
+    dec = _decompose_sql(base_ctes)
+    return f"""WITH dec AS ({dec}),
+o AS (SELECT series, day, resid AS sample, row_number() OVER (PARTITION BY series ORDER BY resid, day) AS i,
+             count(*) OVER (PARTITION BY series) AS n FROM dec WHERE resid IS NOT NULL),
+p AS (SELECT *, CAST(i AS DOUBLE) / CAST(n + 1 AS DOUBLE) AS p FROM o)
+SELECT series, day, CAST(i AS INTEGER) AS i, sample, round({inverse_normal_sql("p")}, 6) AS theoretical FROM p"""
+
+
+@register("k9_qq_points", views=("tx_orders",), sql=_qq_sql(_ORDER_COUNTS))
 def k9_qq_points(spark, sf_dir):
-    """K9: normal Q-Q points of the decomposition residuals per series."""
-    dec = decompose(order_counts(spark, sf_dir), 7)
-    return qq_points(dec, "resid")
+    """K9: normal Q-Q points of the decomposition residuals per series (residuals to six digits,
+    whose ties go by day)."""
+    dec = rounded(decompose(order_counts(spark, sf_dir), 7), ["resid"])
+    return rounded(qq_points(dec, "resid"), ["theoretical"])
 
 
 @register("d2_observed_minus_trend", views=("tx_orders",), sql=_decompose_sql(_ORDER_COUNTS).replace(

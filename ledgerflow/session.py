@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -90,6 +91,15 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
+def stored(df, tag: str):
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and return a scan of it.
+
+    Unlike a checkpoint, later reads skip the columns and row groups they do not need."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -45,7 +45,7 @@ def baseline(history: DataFrame, type_col: str, amount: str) -> DataFrame:
 
 
 def flag_stream(events: DataFrame, base: DataFrame, type_col: str, amount: str, threshold: float = 3.0) -> DataFrame:
-    z = (F.col(amount) - F.col("_mean")) / F.col("_std")
+    z = (F.col(amount) - F.col("_mean")) / F.nullif("_std", F.lit(0.0))  # no deviation, no score
     j = events.join(base, type_col, "left")
     return j.withColumn("anomaly_score", F.coalesce(F.abs(z) > threshold, F.lit(False)).cast("int")).drop("_mean", "_std")
 
