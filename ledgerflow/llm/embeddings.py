@@ -124,8 +124,12 @@ def _links(pairs: DataFrame, vectors: DataFrame, cosine: float) -> DataFrame:
     right = vectors.select(F.col("id").alias("b"), F.col("e").alias("eb"))
 
     def run(rows):
-        x, y = (np.stack([unit(e) for e in rows[c]]) if rows[c] else np.empty((0, 1)) for c in ("ea", "eb"))
-        ok = np.einsum("ij,ij->i", x, y) >= cosine
+        ok = np.zeros(len(rows["a"]), dtype=bool)
+        lengths = np.array([len(e) for e in rows["ea"]])
+        for dim in set(lengths.tolist()):  # a batch may hold pairs of several lengths
+            at = np.flatnonzero(lengths == dim)
+            x, y = (np.stack([unit(rows[c][i]) for i in at]) for c in ("ea", "eb"))
+            ok[at] = np.einsum("ij,ij->i", x, y) >= cosine
         return {c: [v for v, k in zip(rows[c], ok) if k] for c in ("a", "b")}
 
     both = pairs.join(left, "a").join(right, "b").where(F.size("ea") == F.size("eb"))

@@ -135,23 +135,25 @@ b AS (SELECT *, lag(level) OVER w AS pl, lag(content) OVER w AS pc FROM c WINDOW
 n AS (SELECT *, sum(CASE WHEN pl IS NULL OR pl <> level OR pc = '' OR content = '' THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY pos) AS run FROM b),
 g AS (SELECT r, conv_id, turn, level, list(content ORDER BY pos) AS cs FROM n WHERE content <> '' GROUP BY r, conv_id, turn, level, run),
 p AS (SELECT r, conv_id, turn, level, unnest(CASE WHEN len(cs) > 1 THEN list_prepend(array_to_string(cs, ' '), cs) ELSE cs END) AS content FROM g),
-q AS (SELECT DISTINCT r, conv_id, turn, content FROM p WHERE level = 1),
-f AS (SELECT q.r, q.content, max(s.turn) AS said FROM q JOIN p s ON s.content = q.content AND s.conv_id IS NOT DISTINCT FROM q.conv_id
-      WHERE s.level = 0 AND s.turn < q.turn GROUP BY q.r, q.content),
-v AS (SELECT r, said, sum(len(content)) AS chars, count(*) AS n FROM f GROUP BY r, said),
-a AS (SELECT r, (max({{'chars': chars, 'said': said}})).said AS reply_to, sum(n)::BIGINT AS n_linked FROM v GROUP BY r),
+q AS (SELECT r, conv_id, turn, content, min(level) AS level FROM p WHERE level >= 1 GROUP BY r, conv_id, turn, content),
+f AS (SELECT q.r, q.content, q.level, max(s.turn) AS said FROM q JOIN p s ON s.content = q.content AND s.conv_id IS NOT DISTINCT FROM q.conv_id
+      WHERE s.level = 0 AND s.turn < q.turn GROUP BY q.r, q.content, q.level),
+v AS (SELECT r, level, said, sum(len(content)) AS chars, count(*) AS n FROM f GROUP BY r, level, said),
+a AS (SELECT r, (max({{'near': -level, 'chars': chars, 'said': said}})).said AS reply_to, coalesce(sum(n) FILTER (WHERE level = 1), 0)::BIGINT AS n_linked,
+             coalesce(sum(n) FILTER (WHERE level > 1), 0)::BIGINT AS n_nested_linked FROM v GROUP BY r),
 e AS (SELECT conv_id, turn, min(reply_to) AS up FROM m JOIN a USING (r) GROUP BY conv_id, turn),
 t AS (SELECT conv_id, turn, up FROM e
       UNION SELECT t.conv_id, t.turn, e.up FROM t JOIN e ON e.conv_id IS NOT DISTINCT FROM t.conv_id AND e.turn = t.up),
 h AS (SELECT conv_id, turn, min(up) AS thread FROM t GROUP BY conv_id, turn),
-k AS (SELECT r, count(*) AS n_quotes FROM q GROUP BY r),
-o AS (SELECT m.r, m.conv_id, m.turn, m.role, a.reply_to, coalesce(h.thread, m.turn) AS thread, coalesce(n_quotes, 0) AS n_quotes, coalesce(n_linked, 0) AS n_linked,
+k AS (SELECT r, count(*) FILTER (WHERE level = 1) AS n_quotes, count(*) FILTER (WHERE level > 1) AS n_nested FROM q GROUP BY r),
+o AS (SELECT m.r, m.conv_id, m.turn, m.role, a.reply_to, coalesce(h.thread, a.reply_to, m.turn) AS thread, coalesce(n_quotes, 0) AS n_quotes,
+        coalesce(n_linked, 0) AS n_linked, coalesce(n_nested, 0) AS n_nested, coalesce(n_nested_linked, 0) AS n_nested_linked,
         CASE WHEN regexp_matches(text, '(?m){quotes.QUOTE}') THEN regexp_replace(array_to_string(
           [x FOR x IN string_split(text, chr(10)) IF NOT regexp_matches(x, '{quotes.QUOTE}') AND NOT regexp_matches(lower(x), '{quotes.ATTRIBUTION}')], chr(10)),
           '^\s+|\s+$', '', 'g') ELSE coalesce(text, '') END AS own
-      FROM m LEFT JOIN a USING (r) LEFT JOIN k USING (r) LEFT JOIN h ON h.conv_id IS NOT DISTINCT FROM m.conv_id AND h.turn = m.turn)
+      FROM m LEFT JOIN a USING (r) LEFT JOIN k USING (r) LEFT JOIN h ON h.conv_id IS NOT DISTINCT FROM m.conv_id AND h.turn = a.reply_to)
 SELECT conv_id, turn, role, reply_to, thread, row_number() OVER (PARTITION BY conv_id ORDER BY thread NULLS LAST, turn NULLS LAST, r) - 1 AS position,
-       n_quotes, n_linked, md5(own) AS text_md5
+       n_quotes, n_linked, n_nested, n_nested_linked, md5(own) AS text_md5
 FROM o
 """
 
@@ -160,7 +162,7 @@ FROM o
 def op3_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reply-ordered conversations without quotes; texts as digests."""
     got = quotes.reply_ordered(read_table(spark, sf_dir, "conversations"))
-    return got.select("conv_id", "turn", "role", "reply_to", "thread", "position", "n_quotes", "n_linked",
+    return got.select("conv_id", "turn", "role", "reply_to", "thread", "position", "n_quotes", "n_linked", "n_nested", "n_nested_linked",
                       F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
@@ -200,16 +202,20 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read_table(spark, sf_dir, "documents"))
 
 
+#: Depth of the SQL's tree; the operator goes as deep as the templates, the given ones have two segments.
+URL_SQL_LEVELS = 6
+
+
 def _urls_sql() -> str:
     fit = "\n         ".join(f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN {{'rule': '{h + p}', 'verdict': '{v}'}}"
                             for h, p, v in sorted(urls.RULES, key=lambda r: (-len(r[0] + r[1]), r)))
-    levels = [*range(1, urls.LEVELS + 1), "leaf"]
+    levels = [*range(1, URL_SQL_LEVELS + 1), "leaf"]
 
     def key(d) -> str:
         return "''" if d == 0 else "array_to_string(t, '/')" if d == "leaf" else f"array_to_string(t[1:{d}], '/')"
 
     widen = []
-    for at in range(1, urls.LEVELS + 1):
+    for at in range(1, URL_SQL_LEVELS + 1):
         widen.append(f"""k{at} AS (SELECT host, array_to_string(t[1:{at - 1}], '/') AS parent, t[{at}] AS kid, sum(n) AS n FROM g{at - 1}
        WHERE len(t) >= {at} GROUP BY 1, 2, 3),
 w{at} AS (SELECT host, parent FROM k{at} WHERE kid <> '*' GROUP BY 1, 2
@@ -233,7 +239,7 @@ y AS (SELECT *, CASE {fit} END AS r,
 z AS (SELECT *, CASE WHEN r IS NULL THEN NULL WHEN r.verdict = 'block' THEN 1 ELSE 0 END AS label FROM y),
 g0 AS (SELECT host, lex, lex AS t, count(*) AS n, count(label) AS labelled, coalesce(sum(label), 0) AS blocked FROM z GROUP BY host, lex),
 {", ".join(widen)},
-s AS (SELECT *, {sums} FROM g{urls.LEVELS}),
+s AS (SELECT *, {sums} FROM g{URL_SQL_LEVELS}),
 {", ".join(chosen)},
 o AS (SELECT sum(blocked) AS b_all, sum(labelled) AS n_all FROM g0),
 f AS (SELECT host, lex, array_to_string(t, '/') AS template,

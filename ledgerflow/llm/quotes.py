@@ -21,7 +21,8 @@ block of a thread's turns, and inside such a block.  Unquoted passages that nobo
 quotes leave before the join.
 
 Defined results: a null text is an empty message; messages without quotes start
-a thread of their own; a null conversation id is a conversation like any other;
+a thread of their own, also beside one of the same turn that answers something; an answer to a turn
+that several messages share joins the least thread that one of them is in; a null conversation id is a conversation like any other;
 messages without a turn come last and answer nothing; repeated rows are messages
 of their own, one after the other; an empty table gives an empty result; extra
 columns are ignored.
@@ -105,7 +106,8 @@ def _nested(n: str) -> Column:
 
 
 def _threads(linked: DataFrame) -> DataFrame:
-    """``(conv, turn, thread)`` of messages that answer another one, by pointer doubling."""
+    """``(conv, turn, thread)`` of turns that answer another one (the least, if several messages do),
+    by pointer doubling."""
     now = shared_table(linked.groupBy("conv", "turn").agg(F.min("reply_to").alias("up")), "replies")
     while True:
         up = now.select(F.col("conv").alias("c2"), F.col("turn").alias("t2"), F.col("up").alias("up2"))
@@ -120,7 +122,9 @@ def _placed(rows: DataFrame) -> DataFrame:
     """Adds ``position`` (from 0) in the order (thread, turn, row) of each conversation."""
     last = F.lit(1 << 62)  # messages without a turn come last
     rows = rows.withColumn("c", F.struct("conv")).withColumn("tk", F.coalesce("thread", last)).withColumn("uk", F.coalesce("turn", last))
-    rows = rows.withColumn("far", F.floor(F.col("tk") / TURNS)).withColumn("near", F.struct("tk", F.floor(F.col("uk") / TURNS).alias("b")))
+    # Messages without a turn stand in the order of their rows, so blocks of rows split them.
+    block = F.when(F.col("turn").isNull(), F.floor(F.col("row") / TURNS)).otherwise(F.floor(F.col("uk") / TURNS))
+    rows = rows.withColumn("far", F.floor(F.col("tk") / TURNS)).withColumn("near", F.struct("tk", F.col("turn").isNull().alias("no_turn"), block.alias("b")))
 
     def earlier(over: list[str], key: str, name: str) -> DataFrame:
         """Rows in front of each ``key`` within ``over``, from counts."""
@@ -157,8 +161,9 @@ def reply_ordered(messages: DataFrame, conv_col: str = "conv_id", turn_col: str
     rows = rows.join(answers.withColumnRenamed("row", "r1"), F.col("row") == F.col("r1"), "left").join(n_quotes, F.col("row") == F.col("r2"), "left")
     threads = _threads(rows.where("reply_to is not null").select("conv", "turn", "reply_to")).select(
         F.col("conv").alias("c3"), F.col("turn").alias("t3"), "thread")
-    rows = rows.join(threads, F.col("conv").eqNullSafe(F.col("c3")) & (F.col("turn") == F.col("t3")), "left")
+    # A message's thread is that of the turn it answers, whatever others of its own turn do.
+    rows = rows.join(threads, F.col("conv").eqNullSafe(F.col("c3")) & (F.col("reply_to") == F.col("t3")), "left")
     counts = ["n_quotes", "n_linked", "n_nested", "n_nested_linked"]
     rows = _placed(rows.select("row", "conv", "turn", "role", own_text(F.col("text")).alias("text"), "reply_to",
-                               F.coalesce("thread", "turn").alias("thread"), *[F.coalesce(c, F.lit(0)).alias(c) for c in counts]))
+                               F.coalesce("thread", "reply_to", "turn").alias("thread"), *[F.coalesce(c, F.lit(0)).alias(c) for c in counts]))
     return rows.select(F.col("conv").alias("conv_id"), "position", "turn", "role", "text", "reply_to", "thread", *counts)

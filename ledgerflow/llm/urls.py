@@ -6,7 +6,7 @@ fitting rule decides.  Urls no rule fits are judged by their template: segments
 that vary (they hold a digit, or are longer than ``LONG_SEGMENT``) become ``*``,
 and so do the children of a node that has at least ``MANY_CHILDREN`` different
 ones with fewer than ``FEW_PAGES`` pages each on average.  The templates of a
-host form a tree (host, one to ``LEVELS`` segments, whole template).  A node whose
+host form a tree (host, every prefix of its segments, whole template).  A node whose
 share of blocked pages does not differ significantly from its parent's (|z| below
 ``Z``; a node without labelled pages never differs) is merged into the parent, so
 that the deepest significant node speaks for the template.  Its purity is the
@@ -38,7 +38,6 @@ RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org"
 LONG_SEGMENT = 40
 MANY_CHILDREN = 20
 FEW_PAGES = 3.0
-LEVELS = 3
 Z = 1.96
 PRIOR = 10.0
 REJECT = 0.8
@@ -85,30 +84,41 @@ def template_purity(pages: DataFrame) -> DataFrame:
     leaf = pages.groupBy("host", "lex").agg(F.count(F.lit(1)).alias("n"), F.count("label").alias("labelled"),
                                             F.coalesce(F.sum("label"), F.lit(0)).alias("blocked"))
     nodes = shared_table(leaf.withColumn("t", F.col("lex")), "templates")
-    for level in range(1, LEVELS + 1):
+    level = 1
+    # A parent with many children at a level needs as many templates that reach it; there is none beyond this.
+    while not nodes.where(F.size("t") >= level).groupBy("host").agg(F.count_distinct("t").alias("k")).where(F.col("k") >= MANY_CHILDREN).isEmpty():
         nodes = shared_table(_generalise(nodes, level), "generalised")
-    out = nodes.select("host", "lex", F.concat_ws("/", "t").alias("template"), "t", "labelled", "blocked")
-    for d in [*range(LEVELS + 1), "leaf"]:
-        key = F.concat_ws("/", F.col("t") if d == "leaf" else F.slice("t", 1, d))
-        if d == 0:
-            key = F.lit("")
-        sums = out.groupBy("host", key.alias("key")).agg(F.sum("labelled").alias(f"n{d}"), F.sum("blocked").alias(f"b{d}"))
-        sums = sums.withColumnRenamed("host", "h2")
-        out = out.join(sums, (F.col("host") == F.col("h2")) & (key == F.col("key"))).drop("h2", "key")
+        level += 1
+    nodes = shared_table(nodes.select(F.monotonically_increasing_id().alias("node"), "host", "lex", "t", "labelled", "blocked"), "template-nodes")
+
+    # Every template belongs to the node of each of its prefixes, named by chained digests, and to its own.
+    chain = F.aggregate("t", F.array(F.lit("")), lambda keys, s: F.concat(keys, F.array(F.md5(F.concat(F.element_at(keys, -1), F.lit("/"), s).cast("binary")))))
+    chains = nodes.select("node", "host", "labelled", "blocked", chain.alias("chain"))
+    leaf_depth = F.lit((1 << 31) - 1)
+    member = ["node", "host", "depth", "key", "labelled", "blocked"]
+    members = chains.select("node", "host", "labelled", "blocked", F.posexplode("chain").alias("depth", "key")).select(*member).union(
+        chains.select("node", "host", "labelled", "blocked", leaf_depth.alias("depth"), F.element_at("chain", -1).alias("key")).select(*member))
+    members = shared_table(members, "template-members")
+    sums = members.groupBy("host", "depth", "key").agg(F.sum("labelled").alias("n"), F.sum("blocked").alias("b"))
+    paths = members.select("node", "host", "depth", "key").join(sums, ["host", "depth", "key"]).groupBy("node").agg(
+        F.sort_array(F.collect_list(F.struct("depth", "n", "b"))).alias("path"))
+
+    def deeper(state, here):
+        """The child speaks for the branch if its labels differ significantly from what stands above."""
+        p = (state["b"] + 1.0) / (state["n"] + 2.0)
+        n = F.nullif(here["n"], F.lit(0))
+        z = F.abs(here["b"] / n - p) / F.sqrt(p * (1.0 - p) / n)
+        apart = F.coalesce(z >= Z, F.lit(False))
+        return F.struct(F.when(apart, here["n"]).otherwise(state["n"]).alias("n"), F.when(apart, here["b"]).otherwise(state["b"]).alias("b"))
+
+    top = F.get("path", F.lit(0))
+    spoken = F.aggregate(F.slice("path", 2, F.size("path")), F.struct(top["n"].alias("n"), top["b"].alias("b")), deeper)
+    paths = paths.select("node", top["n"].alias("n0"), top["b"].alias("b0"), spoken.alias("s"))
     total = nodes.agg(F.sum("blocked").alias("b_all"), F.sum("labelled").alias("n_all"))
-    out = out.crossJoin(F.broadcast(total))  # one row
-    n, b = F.col("n0"), F.col("b0")
-    for d in [*range(1, LEVELS + 1), "leaf"]:
-        n2, b2 = F.col(f"n{d}"), F.col(f"b{d}")
-        p = (b + 1.0) / (n + 2.0)
-        z = F.abs(b2 / n2 - p) / F.sqrt(p * (1.0 - p) / n2)
-        apart = F.when(n2 > 0, z >= Z).otherwise(False)
-        n, b = F.when(apart, n2).otherwise(n), F.when(apart, b2).otherwise(b)
-        out = out.withColumn(f"en{d}", n).withColumn(f"eb{d}", b)
-        n, b = F.col(f"en{d}"), F.col(f"eb{d}")
-    overall = F.when(F.col("n_all") > 0, F.col("b_all") / F.col("n_all")).otherwise(0.0)
+    out = nodes.select("node", "host", "lex", F.concat_ws("/", "t").alias("template")).join(paths, "node").crossJoin(F.broadcast(total))  # one row
+    overall = F.coalesce(F.col("b_all") / F.nullif("n_all", F.lit(0)), F.lit(0.0))
     host = (F.col("b0") + PRIOR * overall) / (F.col("n0") + PRIOR)
-    return out.select("host", "lex", "template", ((b + PRIOR * host) / (n + PRIOR)).alias("purity"))
+    return out.select("host", "lex", "template", ((F.col("s.b") + PRIOR * host) / (F.col("s.n") + PRIOR)).alias("purity"))
 
 
 def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url", label_col: str | None = None) -> DataFrame:

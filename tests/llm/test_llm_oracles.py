@@ -171,3 +171,46 @@ def test_entire_licence_texts(spark):
     rows = [(i, t if i % 2 else rewrap(t)) for i, (_, t) in enumerate(texts)] + [(100 + i, t) for i, (_, t) in enumerate(texts)]
     got = {r.doc_id: r.license for r in Q.licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {d: texts[d % 100][0] for d, _ in rows}
+
+
+def test_equal_turns_keep_their_own_threads(tables, agree):
+    rows = [(1, 0, "a", "the first words"), (1, 1, "b", "other words"), (1, 2, "a", "> the first words\nyes"), (1, 2, "b", "nothing quoted here"),
+            (1, 2, "c", "> other words\nno"), (1, 3, "d", "> nothing quoted here\nso"), (1, 4, "e", ">> other words\n> yes\nboth"),
+            (1, 5, "f", "> > other  words\nonly the deeper one")] + [(1, None, "x", f"> the first words\nlost {i}") for i in range(3)]
+    folder, con = tables(conversations=(CONV + ", thread long, position long, row long", [(*r, 7, 7, 7) for r in rows]))
+    assert agree("op3_quotes", folder, con) == len(rows)
+    got = {(r.turn, r.role): r for r in Q.quotes.reply_ordered(session().read.parquet(f"{folder}/conversations.parquet")).collect() if r.turn is not None}
+    assert (got[2, "a"].thread, got[2, "b"].thread, got[2, "b"].reply_to, got[2, "c"].thread) == (0, 2, None, 1)
+    assert got[4, "e"].reply_to == 2 and got[5, "f"].reply_to == 1 and got[5, "f"].n_nested == got[5, "f"].n_nested_linked == 1
+
+
+def test_deep_templates_speak(tables, agree):
+    rows = [(i, f"http://deep.net/a/b/c/{'spam' if i % 2 else 'good'}/w{'abcdefghij'[i % 10]}{'x' * (i // 10)}", None, i % 2, 1, 2) for i in range(200)]
+    schema = "page_id long, url string, html string, blocked int, host long, path long"
+    folder, con = tables(pages=(schema, rows))
+    assert agree("op9_urls", folder, con) == len(rows)
+    pages = session().read.parquet(f"{folder}/pages.parquet")
+    new = session().createDataFrame([(900, "http://deep.net/a/b/c/spam/unseen", None, None, 1, 2), (901, "http://deep.net/a/b/c/good/unseen", None, None, 1, 2),
+                                     (902, "http://deep.net/" + "/".join("s" * 900), None, None, 1, 2)], schema)
+    got = {r.page_id: r for r in Q.urls.judge(pages.union(new), label_col="blocked").collect()}
+    assert all(got[i].verdict == ("block" if i % 2 else "allow") for i in range(200))
+    assert got[900].verdict == "block" and got[901].verdict == "allow" and got[900].template == "a/b/c/spam/*" and got[902].verdict == "allow"
+
+
+def test_embedding_edges(tables, agree):
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    a, b = rng.standard_normal(8), rng.standard_normal(16)
+    near = [(a + 0.05 * rng.standard_normal(8)).tolist() for _ in range(6)] + [(b + 0.05 * rng.standard_normal(16)).tolist() for _ in range(6)]
+    vecs = [*near, a.tolist(), a.tolist(), (3 * a).tolist(), (-a).tolist()]
+    rows = [(i, [float(x) for x in v], i % 2, 1, "h", 0, [1]) for i, v in enumerate(vecs)]
+    bad = [(100, None), (101, []), (102, [0.0] * 8), (103, [None] * 8), (104, [float("nan")] * 8), (105, [float("inf")] + [0.0] * 7)]
+    schema = "vec_id long, embedding array<double>, label int, n long, h string, kept int, cells array<int>"
+    df = session().createDataFrame(rows + [(*r, 1, 1, "h", 0, [1]) for r in bad], schema)
+    got = {r.vec_id: r for r in Q.embeddings.near_duplicates(df).collect()}
+    cos = {(i, j): np.dot(u, v) / np.linalg.norm(u) / np.linalg.norm(v) for i, u in enumerate(map(np.array, vecs)) for j, v in enumerate(map(np.array, vecs))
+           if len(u) == len(v) and i != j}
+    for i in range(len(vecs)):
+        assert got[i].n_links == sum(c >= 0.95 for (x, _), c in cos.items() if x == i)
+    assert all((got[r[0]].n_links, got[r[0]].component_id, got[r[0]].kept) == (0, r[0], True) for r in bad)
