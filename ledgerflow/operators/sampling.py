@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -17,16 +17,20 @@ from pyspark.sql import functions as F
 ROWS_PER_BUCKET = 100_000
 
 
-def _hash_rank(key: str, seed: int):
-    return F.xxhash64(F.col(key), F.lit(seed))
+def unit_hash(key: str, seed: int) -> Column:
+    """A number of [0, 2**60) from the MD5 digest of key and seed, the same in any engine."""
+    digest = F.md5(F.concat_ws(":", F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(str(seed))).cast("binary"))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+
+
+SPAN = 1 << 60
 
 
 def simple_sample(df: DataFrame, fraction: float, key: str, seed: int = 42) -> DataFrame:
     """Reproducible Bernoulli sample (H5): a row is kept when its seeded hash
     falls in the lowest ``fraction`` of the hash range.  One narrow filter;
     the size is ``fraction * n`` in expectation."""
-    cut = int(fraction * (1 << 62))
-    return df.filter(F.pmod(_hash_rank(key, seed), F.lit(1 << 62)) < F.lit(cut))
+    return df.filter(unit_hash(key, seed) < F.lit(int(fraction * SPAN)))
 
 
 def stratified_sample(df: DataFrame, fraction: float, stratum: str, key: str, seed: int = 42,
@@ -41,18 +45,18 @@ def stratified_sample(df: DataFrame, fraction: float, stratum: str, key: str, se
     rows is cut into ``buckets`` pieces like any other.  Their number follows the
     row count (a bucket holds at most about ``ROWS_PER_BUCKET`` rows)."""
     buckets = buckets or max(64, -(-df.count() // ROWS_PER_BUCKET))
-    h = _hash_rank(key, seed)
-    frac_pos = F.pmod(F.col("_h"), F.lit(1 << 62)).cast("double") / F.lit(float(1 << 62))
-    x = df.withColumn("_h", h).withColumn("_b", F.floor(frac_pos * buckets).cast("int"))
+    frac_pos = F.col("_h").cast("double") / F.lit(float(SPAN))
+    x = df.withColumn("_h", unit_hash(key, seed)).withColumn("_b", F.floor(frac_pos * buckets).cast("int"))
     counts = x.groupBy(stratum, "_b").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(stratum).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     w_all = Window.partitionBy(stratum)
     plan = counts.select(stratum, "_b", "_n", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"),
                          F.round(F.sum("_n").over(w_all) * F.lit(fraction)).cast("long").alias("_take"))
-    y = x.join(plan, [stratum, "_b"])
+    plan = plan.withColumnRenamed(stratum, "_s").withColumnRenamed("_b", "_b2")
+    y = x.join(plan, F.col(stratum).eqNullSafe(F.col("_s")) & (F.col("_b") == F.col("_b2"))).drop("_s", "_b2")  # null is a stratum too
     whole = y.filter(F.col("_before") + F.col("_n") <= F.col("_take"))
     edge = y.filter((F.col("_before") < F.col("_take")) & (F.col("_before") + F.col("_n") > F.col("_take")))
-    wr = Window.partitionBy(stratum, "_b").orderBy(F.pmod(F.col("_h"), F.lit(1 << 62)), F.col(key))
+    wr = Window.partitionBy(stratum, "_b").orderBy("_h", F.col(key))
     edge = edge.withColumn("_r", F.row_number().over(wr)).filter(F.col("_before") + F.col("_r") <= F.col("_take")).drop("_r")
     return whole.unionByName(edge).drop("_h", "_b", "_n", "_before", "_take")
 
@@ -81,6 +85,19 @@ def top_k(df: DataFrame, by: str, k: int = 20, tie: str | None = None, ascending
     return df.orderBy(*cols).limit(k)
 
 
+def range_report(df: DataFrame, col: str) -> DataFrame:
+    """One row on the physical order of a partitioned frame: its partitions that hold rows, rows, rows out of order
+    within their partition, and neighbouring partitions whose ranges overlap."""
+    pid = F.spark_partition_id()
+    x = df.select(F.col(col).alias("v"), pid.alias("p"), (F.monotonically_increasing_id() - pid.cast("long") * F.lit(1 << 33)).alias("i"))
+    inside = Window.partitionBy("p").orderBy("i")  # one partition of the frame
+    x = x.withColumn("back", F.coalesce((F.lag("v").over(inside) > F.col("v")).cast("long"), F.lit(0)))
+    per = x.groupBy("p").agg(F.count(F.lit(1)).alias("rows"), F.sum("back").alias("unsorted"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    over = F.coalesce((F.lag("hi").over(Window.orderBy("p")) > F.col("lo")).cast("long"), F.lit(0))  # one row per partition
+    return per.withColumn("over", over).agg(F.count(F.lit(1)).alias("partitions"), F.sum("rows").alias("rows"),
+                                            F.sum("unsorted").alias("unsorted"), F.sum("over").alias("overlapping"))
+
+
 def partition_sizes(df: DataFrame) -> DataFrame:
     """Rows per physical partition, for checking a partitioning."""
     return df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count(F.lit(1)).alias("rows"))

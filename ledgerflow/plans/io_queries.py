@@ -10,7 +10,7 @@ from ledgerflow.plans.registry import register, rounded
 from ledgerflow.sources.fixtures import load
 from ledgerflow.sources.tables import read_table
 from ledgerflow.streaming.realtime import (baseline, flag_stream, hourly_stream, read_parquet_stream, run_appends,
-                                            run_upserts)
+                                            run_running_flags, run_upserts, running_flags, time_slices)
 
 
 @register("a8_report_table", views=("tx_nulls",), sql="""
@@ -69,3 +69,16 @@ def x3_stream_flags(spark, sf_dir):
     base = baseline(read_table(spark, sf_dir, "events"), "event_type", "value")
     flags = flag_stream(_event_stream(spark, sf_dir), base, "event_type", "value", threshold=2.0)
     return run_appends(flags.select("event_id", "anomaly_score"))
+
+
+@register("x3_running_flags", sql="""
+SELECT event_type, event_id, count(value) OVER w AS seen,
+       CASE WHEN count(value) OVER w >= 30 AND abs(value - avg(value) OVER w) > 2 * stddev_pop(value) OVER w THEN 1 ELSE 0 END AS anomaly_score
+FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
+def x3_running_flags(spark, sf_dir):
+    """Events flagged against the running mean and deviation of all earlier events of their type,
+    kept as stream state over six micro-batches in time order."""
+    events = read_table(spark, sf_dir, "events")
+    source = read_parquet_stream(spark, time_slices(events, "ts", 6), events.schema)
+    scored, _ = run_running_flags(running_flags(source, "ts", "event_id", "event_type", "value", threshold=2.0))
+    return scored.select("event_type", "event_id", "seen", "anomaly_score")

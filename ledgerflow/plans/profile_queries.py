@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerflow.functions.columns import pca_projection
 from ledgerflow.functions.money import sql_mean
 from ledgerflow.operators import profile as P
-from ledgerflow.operators.sampling import (partition_sizes, range_partition, sample_sizes,
+from ledgerflow.operators.sampling import (SPAN, partition_sizes, range_partition, range_report, sample_sizes,
                                            simple_sample, stratified_sample, top_k)
 from ledgerflow.plans.agg_queries import _CARD_TS, _MOBILE_TS, card, mobile
 from ledgerflow.plans.quality_queries import NULLS_COLS, PCA_NUM, _PCA
@@ -36,13 +36,18 @@ def h6_stratified_sizes(spark, sf_dir):
     return sample_sizes(s, "isFraud")
 
 
-@register("h6_stratified_sample")
+_HASHED = "(SELECT *, CAST('0x' || substr(md5(TransactionID || ':42'), 1, 15) AS BIGINT) AS h FROM tx_card)"
+
+
+@register("h6_stratified_sample", views=("tx_card",), sql=f"""
+SELECT * EXCLUDE (h, r, n) FROM (SELECT *, row_number() OVER (PARTITION BY isFraud ORDER BY h, TransactionID) AS r,
+       count(*) OVER (PARTITION BY isFraud) AS n FROM {_HASHED}) WHERE r <= round(n * 0.2)""")
 def h6_stratified_sample(spark, sf_dir):
     """H6: the stratified sample rows (seeded hash order inside each label)."""
     return stratified_sample(load(spark, sf_dir, "tx_card"), 0.2, "isFraud", "TransactionID", seed=42)
 
 
-@register("h5_simple_sample")
+@register("h5_simple_sample", views=("tx_card",), sql=f"SELECT * EXCLUDE (h) FROM {_HASHED} WHERE h < {int(0.2 * SPAN)}")
 def h5_simple_sample(spark, sf_dir):
     """H5: reproducible 20 % Bernoulli sample by seeded hash."""
     return simple_sample(load(spark, sf_dir, "tx_card"), 0.2, "TransactionID", seed=42)
@@ -55,6 +60,13 @@ def h7_range_partition(spark, sf_dir):
     return partition_sizes(range_partition(card(spark, sf_dir, parts=False), "sample_datetime", 2))
 
 
+@register("h7_range_order", views=("tx_card",), sql=f"""
+SELECT CAST(2 AS BIGINT) AS partitions, count(*) AS rows, CAST(0 AS BIGINT) AS unsorted, CAST(0 AS BIGINT) AS overlapping FROM tx_card""")
+def h7_range_order(spark, sf_dir):
+    """H1/H7: the two range partitions by timestamp are in order across and within."""
+    return range_report(range_partition(card(spark, sf_dir, parts=False), "sample_datetime", 2), "sample_datetime")
+
+
 @register("h2_top20_amount", views=("tx_card",), sql="""
 SELECT TransactionID, TransactionAmt FROM tx_card ORDER BY TransactionAmt DESC, TransactionID LIMIT 20""")
 def h2_top20_amount(spark, sf_dir):
