@@ -258,3 +258,26 @@ def quarantine(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, D
     ok = tagged.filter(F.size("failed_rules") == 0).drop("failed_rules")
     bad = tagged.filter(F.size("failed_rules") > 0)
     return ok, bad
+
+
+def not_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key occurs more than once (X2, a rule over several rows).  A key with a null in it
+    violates nothing.  Counts are merged before the exchange; the rows come back by a semi-join, whose
+    hot keys adaptive execution splits."""
+    keyed = df.filter(_present(keys))
+    twice = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).select(*keys)
+    return keyed.join(twice, list(keys), "left_semi")
+
+
+def without_reference(df: DataFrame, keys: Sequence[str], other: DataFrame, other_keys: Sequence[str]) -> DataFrame:
+    """Rows whose key does not stand in the other table (X2); a key with a null in it refers to nothing and
+    violates nothing."""
+    known = other.select(*[F.col(f"`{b}`").alias(a) for a, b in zip(keys, other_keys)]).distinct()
+    return df.filter(_present(keys)).join(known, list(keys), "left_anti")
+
+
+def _present(keys: Sequence[str]) -> Column:
+    out = F.lit(True)
+    for k in keys:
+        out = out & F.col(f"`{k}`").isNotNull()
+    return out

@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
+from ledgerflow.session import stored
+
 
 class _MemberPartition(InputPartition):
     def __init__(self, archive: str, member: str):
@@ -105,6 +107,22 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
     return r.csv(path)
 
 
+CORRUPT = "_corrupt_record"
+
+
+def read_csv_quarantine(spark: SparkSession, path: str, schema: StructType | str, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """CSV parsed with ``schema`` (A3, C8): the rows that fit it, and the others with their raw line as
+    ``_corrupt_record`` beside what could be parsed.
+
+    The parsed rows are written once: Spark does not take the corrupt column alone out of a raw file, and both halves then
+    come from one parse."""
+    ddl = schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    rows = spark.read.schema(f"{ddl}, {CORRUPT} string").option("header", header).option("mode", "PERMISSIVE").option(
+        "columnNameOfCorruptRecord", CORRUPT).csv(path)
+    rows = stored(rows, "parsed-csv")
+    return rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), rows.filter(F.col(CORRUPT).isNotNull())
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
     """Write a report or chart table (A6, A7, A9); ``overwrite`` is atomic per
     job through Spark's commit protocol."""
