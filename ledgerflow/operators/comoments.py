@@ -5,8 +5,9 @@ values: their number, both means, both sums of squares and the sum of products a
 by the usual update of two partial moments, first inside the task, then over the tasks' rows (pairs x tasks of
 them, grouped by pair), so the plan is one scan and one small exchange at any number of columns.
 
-Columns are shifted by one of their own values first.  Correlations do not depend on it, sums of squares
-lose no digits to a large mean, and a constant column has exactly no variance.
+Every block shifts a column by one of its own values first, so sums of squares lose no digits to a
+large mean.  What remains of a constant column after merging is rounding of its means; a variance that small
+counts as none.
 """
 
 from __future__ import annotations
@@ -26,15 +27,17 @@ MOMENTS = "i int, j int, n double, mi double, mj double, vi double, vj double, c
 def block_moments(x: np.ndarray) -> np.ndarray:
     """``(n, mi, mj, vi, vj, c)`` of all column pairs of a matrix, NaN being missing."""
     there = ~np.isnan(x)
+    first = x[there.argmax(axis=0), np.arange(x.shape[1])] if len(x) else np.zeros(x.shape[1])
+    first = np.where(np.isfinite(first), first, 0.0)
     m = there.astype(np.float64)
-    z = np.where(there, x, 0.0)
+    z = np.where(there, x - first, 0.0)
     n = m.T @ m
     safe = np.maximum(n, 1.0)
     mean = (z.T @ m) / safe  # of column i over the rows that have j
     sq = (z * z).T @ m
     v = np.maximum(sq - safe * mean * mean, 0.0)
     c = z.T @ z - safe * mean * mean.T
-    return np.stack([n, mean, mean.T, v, v.T, c])
+    return np.stack([n, mean + first[:, None], mean.T + first[None, :], v, v.T, c])
 
 
 def merge_moments(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -50,16 +53,13 @@ def pair_moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     are null and NaN."""
     cols = list(cols)
     x = df.select(*[F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")).alias(f"x{i}") for i, c in enumerate(cols)])
-    # Any one value of each column: it moves the origin, nothing else.
-    first = x.agg(*[F.any_value(c, F.lit(True)).alias(c) for c in x.columns]).first()
-    origin = [first[c] if first[c] is not None and np.isfinite(first[c]) else 0.0 for c in x.columns]
 
     def fold(batches):
         total = None
         for batch in batches:
             for at in range(0, batch.num_rows, BLOCK_ROWS):
                 part = batch.slice(at, BLOCK_ROWS)
-                m = np.column_stack([pc.fill_null(part.column(i), float("nan")).to_numpy(zero_copy_only=False) - origin[i] for i in range(len(cols))])
+                m = np.column_stack([pc.fill_null(part.column(i), float("nan")).to_numpy(zero_copy_only=False) for i in range(len(cols))])
                 got = block_moments(m)
                 total = got if total is None else merge_moments(total, got)
         i, j = np.triu_indices(len(cols), 1)
@@ -71,9 +71,12 @@ def pair_moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     w = Window.partitionBy("i", "j")  # one row per task
     n = F.sum("n").over(w)
     di, dj = (F.col(m) - F.sum(F.col(m) * F.col("n")).over(w) / n for m in ("mi", "mj"))
-    parts = parts.select("i", "j", "n", (F.col("vi") + F.col("n") * di * di).alias("vi"), (F.col("vj") + F.col("n") * dj * dj).alias("vj"),
+    parts = parts.select("i", "j", "n", "mi", "mj", (F.col("vi") + F.col("n") * di * di).alias("vi"), (F.col("vj") + F.col("n") * dj * dj).alias("vj"),
                          (F.col("c") + F.col("n") * di * dj).alias("c"))
-    return parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "vi", "vj", "c")])
+    total = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "vi", "vj", "c")], *[F.max(F.abs(c)).alias(c) for c in ("mi", "mj")])
+    # The rounding of a mean is about 1e-16 of it.
+    none = {v: F.col(v) <= F.col("n") * F.pow(F.col(m) * 1e-14, F.lit(2.0)) for v, m in (("vi", "mi"), ("vj", "mj"))}
+    return total.select("i", "j", "n", *[F.when(none[v], 0.0).otherwise(F.col(v)).alias(v) for v in ("vi", "vj")], "c")
 
 
 def pair_correlations(df: DataFrame, cols: Sequence[str], name: str = "pearson") -> DataFrame:

@@ -103,6 +103,7 @@ def rank_correlations(df: DataFrame, cols: Sequence[str] | None = None) -> DataF
     cols = list(cols or columns_of_type(df, "numeric"))
     x = df.select(*[F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")).alias(f"x{i}") for i, c in enumerate(cols)])
     names = x.columns
+    x = stored(x.withColumn("_row", F.monotonically_increasing_id()), "rank-rows")  # read several times; its row numbers must not change
     missing = x.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in names]).first()
     whole = [i for i, c in enumerate(names) if not missing[c]]
     groups = ([whole] if len(whole) > 1 else []) + [
@@ -110,7 +111,7 @@ def rank_correlations(df: DataFrame, cols: Sequence[str] | None = None) -> DataF
     schema = "column_a string, column_b string, spearman double"
     if not groups:
         return df.sparkSession.createDataFrame([], schema)
-    rows = stored(bucketize(x, names, _default_buckets(x)).withColumn("_row", F.monotonically_increasing_id()), "rank-rows")
+    rows = bucketize(x, names, _default_buckets(x))
     items = F.concat(*[F.when(functools.reduce(operator.and_, [F.col(names[i]).isNotNull() for i in g]), F.array(*[
         F.struct(F.lit(k).alias("g"), F.lit(i).alias("i"), F.col(names[i]).alias("v"), F.col(f"{names[i]}__b").alias("b")) for i in g]))
         .otherwise(F.array().cast("array<struct<g:int,i:int,v:double,b:double>>")) for k, g in enumerate(groups)])

@@ -11,7 +11,7 @@ from ledgerflow.operators.anomaly import isolation_forest, kmeans_distance, zsco
 from ledgerflow.operators.features import feature_columns, feature_importance, standardize, top_features
 from ledgerflow.operators.joins import merge
 from ledgerflow.operators.windows import window_features
-from ledgerflow.plans.agg_queries import card
+from ledgerflow.plans.agg_queries import _CARD_TS, card
 from ledgerflow.plans.quality_queries import _PCA, PCA_NUM
 from ledgerflow.plans.registry import register, rounded
 from ledgerflow.session import stored
@@ -52,12 +52,12 @@ def m1_standardize(spark, sf_dir):
     return rounded(standardize(merged(spark, sf_dir), CARD_FEATURES, keep=["TransactionID"]))
 
 
-def _z_sql():
+def _z_sql(cols=None):
     conds = []
-    for c in CARD_FEATURES:
+    for c in cols or CARD_FEATURES:
         x = f"CAST({c} AS DOUBLE)"
         conds.append(f"(CASE WHEN count(*) FILTER (WHERE {c} IS NULL) OVER () > 0 THEN false "
-                     f"ELSE coalesce(abs(({x} - avg({x}) OVER ()) / stddev_pop({x}) OVER ()) > 3, false) END)")
+                     f"ELSE coalesce(abs(({x} - avg({x}) OVER ()) / nullif(stddev_pop({x}) OVER (), 0)) > 3, false) END)")
     return " OR ".join(conds)
 
 
@@ -71,6 +71,44 @@ def m2_zscore_flags(spark, sf_dir):
     return z.select("TransactionID", "TransactionAmt", "day", "anomaly_score")
 
 
+#: All numeric columns of the model input but label and key (fixed: the SQL names them); L2 keeps 20, so all of them.
+FRAUD_FEATURES = ["TransactionDT", "TransactionAmt", "card1", "hour", "week", "day_of_week", "id_01", "id_02", "month", "next_transaction_amt",
+                  "prev_transaction_amt", "rolling_avg_3", "rolling_max", "rolling_min", "row_number", "cumulative_sum", "rank"]
+_FEATURES = f"""{_CARD_TS},
+w AS (SELECT * EXCLUDE (month), month, CAST(round(TransactionAmt * 100) AS BIGINT) AS c FROM cardp),
+feat AS (SELECT w.* EXCLUDE (c), id_01, id_02,
+  row_number() OVER (PARTITION BY month ORDER BY sample_datetime, TransactionID) AS row_number,
+  CASE WHEN TransactionAmt IS NOT NULL THEN rank() OVER (PARTITION BY month ORDER BY TransactionAmt DESC NULLS LAST) END AS rank,
+  lead(TransactionAmt) OVER o AS next_transaction_amt, lag(TransactionAmt) OVER o AS prev_transaction_amt,
+  CASE WHEN TransactionAmt IS NOT NULL THEN CAST(sum(c) OVER (PARTITION BY month ORDER BY sample_datetime,
+    TransactionID ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) / 100.0 END AS cumulative_sum,
+  CASE WHEN count(TransactionAmt) OVER r = 3 THEN avg(TransactionAmt) OVER r END AS rolling_avg_3,
+  CASE WHEN count(TransactionAmt) OVER r = 3 THEN max(TransactionAmt) OVER r END AS rolling_max,
+  CASE WHEN count(TransactionAmt) OVER r = 3 THEN min(TransactionAmt) OVER r END AS rolling_min
+  FROM w LEFT JOIN tx_identity USING (TransactionID)
+  WINDOW o AS (ORDER BY sample_datetime, TransactionID), r AS (ORDER BY sample_datetime, TransactionID ROWS BETWEEN 2 PRECEDING AND CURRENT ROW))"""
+
+
+@register("m1_standardize_features", views=("tx_card", "tx_identity"), sql=f"""
+WITH {_FEATURES}
+SELECT TransactionID, {", ".join(f"round({c}, 5) AS {c}" for c in FRAUD_FEATURES)}
+FROM (SELECT TransactionID, {_std_sql(FRAUD_FEATURES)} FROM feat)""")
+def m1_standardize_features(spark, sf_dir):
+    """M1: every feature of the model input, nulls as 0, centred and scaled by the population std."""
+    f = stored(fraud_features(spark, sf_dir), "fraud-features")
+    return rounded(standardize(f, FRAUD_FEATURES, keep=["TransactionID"]), digits=5)
+
+
+@register("m2_zscore_flags_features", views=("tx_card", "tx_identity"), sql=f"""
+WITH {_FEATURES}
+SELECT TransactionID, TransactionAmt, CAST(sample_datetime AS DATE) AS day,
+       CAST({_z_sql(FRAUD_FEATURES)} AS INTEGER) AS anomaly_score FROM feat""")
+def m2_zscore_flags_features(spark, sf_dir):
+    """M2/M5: |z| > 3 in any feature of the model input; columns with missing values never flag."""
+    f = stored(fraud_features(spark, sf_dir), "fraud-features")
+    return zscore_flags(f, FRAUD_FEATURES, 3.0).select("TransactionID", "TransactionAmt", "day", "anomaly_score")
+
+
 def _pca_std(spark, sf_dir):
     return standardize(pca_projection(load(spark, sf_dir, "tx_pca")), PCA_FEATURES, keep=["time"])
 
