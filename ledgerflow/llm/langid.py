@@ -3,7 +3,7 @@
 A text becomes the normalised TF-IDF vector of its hashed character 2- and
 3-grams (lower case; whatever is no letter counts as one space).  Document
 frequencies are counted over all learning rows.  For every language a bounded
-sample of its rows (``ROWS_PER_LANGUAGE``, drawn by a hash of the id) is
+sample of its rows (``ROWS_PER_LANGUAGE`` at most, drawn by a hash of id and text) is
 clustered into ``CENTROIDS`` spherical k-means centroids, one task per language,
 so that variants and genres of a language may lie apart.  A text gets the
 language of the centroid with the greatest cosine; it is *rejected* if it lies
@@ -29,7 +29,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.common import map_rows, setup, shared_table
@@ -143,9 +143,12 @@ def fit_languages(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
         return LanguageModel(np.ones(1 << BITS), [], np.zeros((0, 1 << BITS)), np.zeros(0))
     df, n = document_frequencies(rows)
     idf = np.log((n + 1) / (df + 1)) + 1.0
-    draw = F.pmod(F.xxhash64(F.lit("language"), F.coalesce(F.col("id").cast("string"), F.lit(""))), F.lit(1_000_003))
-    share = F.create_map(*[F.lit(x) for lang, c in counts.items() for x in (lang, int(min(1.0, rows_per_language / c) * 1_000_003) + 1)])
-    sample = rows.where(draw < F.element_at(share, F.col("lang"))).select("lang", "text")
+    draw = F.pmod(F.xxhash64(F.lit("language"), F.coalesce(F.col("id").cast("string"), F.lit("")), F.col("text")), F.lit(1_000_003))
+    share = F.create_map(*[F.lit(x) for lang, c in counts.items() for x in (lang, int(min(1.0, 2 * rows_per_language / c) * 1_000_003) + 1)])
+    # About twice the rows asked for, then the first of them: a repeated id cannot make a group larger.
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "text"))
+    sample = rows.withColumn("draw", draw).where(F.col("draw") < F.element_at(share, F.col("lang"))).withColumn("nth", first)
+    sample = sample.where(F.col("nth") <= rows_per_language).select("lang", "text")
 
     def grams(part):
         got = [gram_counts(t) for t in part["text"]]
@@ -156,7 +159,7 @@ def fit_languages(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
         for i, (at, c) in enumerate(zip(part["at"], part["n"])):
             x[i, at] = np.log1p(c) * idf[at]
         x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-        x = x[np.lexsort(x[:, :64].T)]  # the result does not depend on the order of the rows
+        x = x[sorted(range(len(x)), key=lambda i: x[i].tobytes())]  # the result does not depend on the order of the rows
         centres, reach = cluster(x, centroids)
         return pd.DataFrame({"lang": key[0], "centre": [c.astype(float).tolist() for c in centres], "reach": reach})
 

@@ -277,3 +277,41 @@ def test_mixing_tells_rows_of_one_id_apart(spark):
     got = mixing.mixed_documents(spark.createDataFrame(rows, DOC)).collect()
     taken = {r.text for r in got if r.source == "s"}
     assert taken == {"a b c", "x y z", "q r s", "t u v"}
+
+
+def test_languages_by_brute_force_and_reruns_agree(spark):
+    import math
+    import unicodedata
+    from collections import Counter
+
+    from ledgerflow.llm import langid
+    from ledgerflow.llm.common import fold
+    from ledgerflow.llm.words import char_gram_slots, code_points
+
+    docs = read_table(spark, "/root/testdata/sf0.001", "documents")
+    train = docs.where(fold("doc_id", 4) != 2)
+    model = langid.fit_languages(train)
+    again = langid.fit_languages(train.repartition(7))
+    assert model.languages == again.languages and (model.centroids == again.centroids).all() and (model.reach == again.reach).all()
+    capped = langid.fit_languages(train.withColumn("doc_id", F.lit(None).cast("long")), rows_per_language=20)
+    assert set(capped.languages) == set(model.languages)
+
+    def grams(text):
+        out, low = [], []
+        for ch in " " + text + " ":
+            letter = ch.isalpha()
+            low.append((ch.lower() if len(ch.lower()) == 1 else ch) if letter else " ")
+        s = "".join(c for i, c in enumerate(low) if c != " " or i == 0 or low[i - 1] != " ")
+        for n in (2, 3):
+            out += [int(x) for x in char_gram_slots(code_points(s), n, langid.BITS)]
+        return Counter(out)
+
+    rows = [r for r in docs.collect() if r.text and unicodedata.is_normalized("NFC", r.text)][:60]
+    learned = [r.text for r in train.where("text is not null and lang is not null").collect()]
+    df = Counter(g for t in learned for g in grams(t))
+    got = {r.doc_id: r for r in langid.identify(docs, model).collect()}
+    for r in rows:
+        v = {g: math.log1p(n) * (math.log((len(learned) + 1) / (df[g] + 1)) + 1) for g, n in grams(r.text).items()}
+        size = math.sqrt(sum(x * x for x in v.values()))
+        cos = [sum(x * c[g] for g, x in v.items()) / size for c in model.centroids]
+        assert got[r.doc_id].lang_pred == model.languages[int(np.argmax(cos))] and abs(got[r.doc_id].score - min(1, max(0, max(cos)))) < 1e-9
