@@ -63,7 +63,8 @@ END_ID = 2
 FRAME_IDS = 1 << 16
 SHARD_IDS = 1 << 24
 LEVEL = 3
-MEMO_WORDS = 1 << 18
+MEMO_WORDS = 3 << 16
+MEMO_PIECES = 1 << 17
 LONG_WORD = 256
 #: Characters handled at once, and then up to the next white space.
 SEGMENT = 1 << 16
@@ -114,18 +115,18 @@ def word_wise(description: dict) -> bool:
 
 
 class Memo(dict):
-    """Remembers what ``make`` gives for a key: the last ``MEMO_WORDS`` keys at least, twice as many at most."""
+    """Remembers what ``make`` gives for a key: the last ``most`` keys at least, twice as many at most."""
 
-    def __init__(self, make):
+    def __init__(self, make, most: int):
         super().__init__()
-        self.make, self.older = make, {}
+        self.make, self.most, self.older = make, most, {}
 
     def __missing__(self, key):
         got = self.older.get(key)
         if got is None:
             got = self.make(key)
         if len(key) <= LONG_WORD:
-            if len(self) >= MEMO_WORDS:
+            if len(self) >= self.most:
                 self.older = dict(self)
                 self.clear()
             self[key] = got
@@ -159,7 +160,8 @@ class IdEncoder:
             byte_level = [p for p in pre.get("pretokenizers", [pre]) if p["type"] == "ByteLevel"]
             shown = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
             self.alphabet = {c: shown(chr(c))[0][0] for c in range(0xA1, 0x180)} if byte_level else {}
-            self.piece_ids, self.plain_ids, self.word_ids = Memo(self._piece), Memo(self._plain_word), Memo(self._word)
+            self.piece_ids, self.plain_ids = Memo(self._piece, MEMO_PIECES), Memo(self._plain_word, MEMO_WORDS)
+            self.word_ids = Memo(self._word, MEMO_WORDS)
 
     def _bytes(self, ids: list[int]) -> bytes:
         return self.packers[len(ids)](*ids) if len(ids) < 64 else np.array(ids, dtype=self.kind).tobytes()

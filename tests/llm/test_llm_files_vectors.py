@@ -44,10 +44,11 @@ ODD = ["I'LL don't 'S ''s x's123 '", "a<|endoftext|>b <|startoftext|>", "é É 
 
 
 def test_words_give_the_ids_of_whole_texts(monkeypatch):
-    enc = tokenfiles.IdEncoder(tokenfiles.default_tokenizer())
-    assert enc.by_word and enc.width == 2
     monkeypatch.setattr(tokenfiles, "MEMO_WORDS", 7)
+    monkeypatch.setattr(tokenfiles, "MEMO_PIECES", 7)
     monkeypatch.setattr(tokenfiles, "SEGMENT", 5)
+    enc = tokenfiles.IdEncoder(tokenfiles.default_tokenizer())
+    assert enc.by_word and enc.width == 2
     rng = random.Random(2)
     texts = ODD + ["".join(rng.choice(" \nab'.1é日İ́\x1c\x85<|>_S") for _ in range(60)) for _ in range(300)]
     for t in texts:
