@@ -171,3 +171,14 @@ def test_report_reads_the_table_twice_at_most(spark, tmp_path):
     report = Q.quality_report(spark.read.parquet(path))
     plan = report._jdf.queryExecution().executedPlan().toString()
     assert plan.count(f"{path}]") <= 1  # the index itself has read it once before
+
+
+def test_density_curves_within_the_kernels_reach(spark):
+    rng = np.random.default_rng(9)
+    x = np.concatenate([rng.standard_normal(400), [60.0], np.repeat(1.25, 50)])
+    df = spark.createDataFrame([(float(v), 1) for v in x] + [(2.0, 0)] * 3, "x double, label int")
+    got = P.kde(df, ["x"], "label", grid=50).orderBy("point").collect()
+    assert len(got) == 50 and {r.label for r in got} == {1}  # a constant group has no bandwidth
+    h = x.std(ddof=1) * len(x) ** -0.2
+    want = [np.exp(-0.5 * ((r.x - x) / h) ** 2).sum() / (len(x) * h * math.sqrt(2 * math.pi)) for r in got]
+    assert np.allclose([r.density for r in got], want, atol=1e-9) and min(want) < 1e-11
