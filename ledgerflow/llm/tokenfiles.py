@@ -63,7 +63,7 @@ END_ID = 2
 FRAME_IDS = 1 << 16
 SHARD_IDS = 1 << 24
 LEVEL = 3
-MEMO_WORDS = 3 << 16
+MEMO_WORDS = 1 << 18
 MEMO_PIECES = 1 << 17
 LONG_WORD = 256
 #: Characters handled at once, and then up to the next white space.
@@ -206,12 +206,22 @@ def encoder(tokenizer_file: str) -> IdEncoder:
     return IdEncoder(tokenizer_file)
 
 
+@functools.cache
+def packer() -> zstandard.ZstdCompressor:
+    """One compressor per Python worker; every call of it makes an independent frame."""
+    return zstandard.ZstdCompressor(level=LEVEL)
+
+
+@functools.cache
+def unpacker() -> zstandard.ZstdDecompressor:
+    return zstandard.ZstdDecompressor()
+
+
 def frames_of(ids: bytes, width: int) -> tuple[bytes, list[int], list[int]]:
     """The ids as frames of at most ``FRAME_IDS`` ids: their bytes, sizes and checksums."""
-    pack = zstandard.ZstdCompressor(level=LEVEL)
     step = FRAME_IDS * width
     raw = [ids[at:at + step] for at in range(0, len(ids), step)]
-    frames = [pack.compress(x) for x in raw]
+    frames = [packer().compress(x) for x in raw]
     return b"".join(frames), [len(x) for x in frames], [xxhash.xxh64_intdigest(x) & 0xFFFFFFFF for x in raw]
 
 
@@ -245,7 +255,7 @@ def framed_documents(docs: DataFrame, tokenizer_file: str | None = None, end_id:
 
 def shard_bytes(ids: list[int | None], n_tokens: list[int], width: int, frames: list[bytes], sizes: list[int], sums: list[int]) -> bytes:
     """A whole file but its last four bytes (``SEEKABLE_MAGIC``)."""
-    index = zstandard.ZstdCompressor(level=LEVEL).compress(b"".join([
+    index = packer().compress(b"".join([
         struct.pack("<BQ", width, len(ids)), np.array([i is None for i in ids], dtype=np.uint8).tobytes(),
         np.array([i or 0 for i in ids], dtype="<i8").tobytes(), np.array(n_tokens, dtype="<u8").tobytes()]))
     index = struct.pack("<II", SKIPPABLE, len(index)) + index
@@ -309,7 +319,7 @@ class Shard:
         self.data, self.entries = memoryview(data), np.frombuffer(data, dtype=ENTRY, count=count, offset=start)
         self.offsets = np.cumsum(self.entries["size"].astype(np.int64)) - self.entries["size"]
         at = int(self.offsets[-1])
-        index = zstandard.ZstdDecompressor().decompress(self.data[at + 8:start - 8])
+        index = unpacker().decompress(self.data[at + 8:start - 8])
         self.width, n = struct.unpack_from("<BQ", index)
         missing = np.frombuffer(index, np.uint8, n, 9).astype(bool)
         ids = np.frombuffer(index, "<i8", n, 9 + n)
@@ -321,7 +331,7 @@ class Shard:
 
     def frame(self, k: int) -> bytes:
         at, size = int(self.offsets[k]), int(self.entries["size"][k])
-        raw = zstandard.ZstdDecompressor().decompress(self.data[at:at + size], max_output_size=int(self.entries["raw"][k]))
+        raw = unpacker().decompress(self.data[at:at + size], max_output_size=int(self.entries["raw"][k]))
         if len(raw) != self.entries["raw"][k] or xxhash.xxh64_intdigest(raw) & 0xFFFFFFFF != self.entries["sum"][k]:
             raise ValueError(f"frame {k} does not match its entry in the seek table")
         return raw
