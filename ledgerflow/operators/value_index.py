@@ -2,37 +2,41 @@
 
 ``build`` turns a table into ``(c, v, s, n)`` rows, the count ``n`` of every distinct value
 of every column ``c`` (numbers as ``v``, other values as ``s``; whole numbers that a
-double may not hold carry both), written once, range-partitioned by column and
-value, with the number ``p`` of the partition.  A partial aggregate merges a hot value before the
-exchange.  Missing and distinct values, zeros, negatives, moments, modes, top values, quantiles
-and outliers then are aggregates over the index, which the raw table no longer takes part in.
+double may not hold carry both), written once as the one exchange leaves it.  A partial aggregate
+merges a hot value before the exchange.  Missing and distinct values, zeros, negatives, moments, modes,
+top values, quantiles and outliers then are aggregates over the index, which the raw table no longer takes part in.
 
-Quantiles need no total order: the sums of ``n`` per (column, partition) say which
-partition holds a rank, and only those partitions are ranked.
+Quantiles need no order of the index: sums of ``n`` over ranges of values say which range holds a
+rank, and that range alone is cut again until one value is left.
 
-Whole rows are counted the same way, as 128-bit digests under column ``ROW``: only rows whose digest
-occurs more than once are read again and compared.
+Whole rows are counted the same way, as 128-bit digests under column ``ROW``: only digests that
+occur more than once are written, and only their rows are read again and compared.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, LongType, NumericType
+from pyspark.sql.types import DataType, DecimalType, LongType, NumericType
 
 from ledgerflow.functions.money import cents
 from ledgerflow.session import stored
 
 ROW = -1
+#: Ranges into which a doubling of the value and, after that, a range is cut.
+CUTS_PER_DOUBLING = 256
+CUTS = 1 << 14
 
 
 def row_digest(df: DataFrame) -> Column:
-    """128 bits of a row.  Equal rows have equal digests; rows of equal digests are compared."""
+    """128 bits of a row, as 16 bytes in a string.  Equal rows have equal digests; rows of equal digests are compared."""
     cols = [F.col(f"`{c}`") for c in df.columns]
-    return F.concat(F.hex(F.xxhash64(F.lit(1), *cols)), F.lit("-"), F.hex(F.xxhash64(F.lit(2), *cols)))
+    half = [F.lpad(F.hex(F.xxhash64(F.lit(i), *cols)), 16, "0") for i in (1, 2)]
+    return F.unhex(F.concat(*half)).cast("string")
 
 
 @dataclass
@@ -69,15 +73,18 @@ class ValueIndex:
         return every.join(per, "c", "left").select("column", F.coalesce(F.col(value), F.lit(0)).cast("long").alias(value))
 
     def duplicates(self) -> DataFrame:
-        """One row ``duplicates``, rows minus distinct rows."""
+        """One row ``duplicates``, rows minus distinct rows.  Without a digest that occurs twice the rows are not read again."""
         twice = self.table.filter((F.col("c") == ROW) & (F.col("n") > 1)).select(F.col("s").alias("_digest"))
+        twice = stored(twice, "digests")  # known to be small or not before the rows are moved
+        if twice.isEmpty():
+            return self.df.sparkSession.createDataFrame([(0,)], "duplicates long")
         rows = self.df.withColumn("_digest", row_digest(self.df)).join(twice, "_digest", "left_semi")
         g = rows.groupBy(*[F.col(f"`{c}`") for c in self.df.columns]).agg(F.count(F.lit(1)).alias("_n"))
         return g.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("duplicates"))
 
     def rows(self) -> DataFrame:
-        """One row ``n``."""
-        return self.table.filter(F.col("c") == ROW).agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n"))
+        """One row ``n``; every row counts once under the first column."""
+        return self.table.filter(F.col("c") == 0).agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n"))
 
     def moments(self, cols: Sequence[str] | None = None, money: Sequence[str] = ()) -> DataFrame:
         """``(column, count, distinct, zeros, negatives, mean, std, skewness, kurtosis, min, max)``
@@ -116,25 +123,42 @@ class ValueIndex:
         return self.top_values(cols, 1, dropna=False).select("column", F.col("value").alias("mode"), "count")
 
     def quantiles(self, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
-        """Exact, linearly interpolated ``(column, prob, value)``; NaN is no value."""
-        x = self._of(cols).filter(F.col("v").isNotNull() & ~F.isnan("v")).select("c", "p", "v", "s", "n")
-        by_part = x.groupBy("c", "p").agg(F.sum("n").alias("m"))
-        # One row per column and partition: the ranks it holds.
-        w = Window.partitionBy("c")
-        start = F.sum("m").over(w.orderBy("p").rowsBetween(Window.unboundedPreceding, 0)) - F.col("m")
-        parts = by_part.select("c", "p", "m", start.alias("start"), F.sum("m").over(w).alias("total"))
-        want = parts.withColumn("prob", F.explode(F.array(*[F.lit(float(q)) for q in probs]))).withColumn("pos", F.col("prob") * (F.col("total") - 1))
-        want = want.withColumn("rank", F.explode(F.array(F.floor("pos"), F.ceil("pos")))).filter(
-            (F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("start") + F.col("m")))
-        want = want.select("c", "p", "start", "prob", "pos", "rank").distinct()
-        held = x.join(F.broadcast(want.select("c", "p", "start").distinct()), ["c", "p"])  # columns x quantiles x 2 rows at most
-        last = F.col("start") + F.sum("n").over(Window.partitionBy("c", "p").orderBy("v", "s").rowsBetween(Window.unboundedPreceding, 0))
-        held = held.select("c", "p", "v", "n", last.alias("end"))
-        hit = held.join(F.broadcast(want.drop("start")), ["c", "p"]).filter((F.col("rank") < F.col("end")) & (F.col("rank") >= F.col("end") - F.col("n")))
-        got = hit.groupBy("c", "prob").agg(F.first("pos").alias("pos"), F.min(F.struct("rank", "v"))["v"].alias("lo"), F.max(F.struct("rank", "v"))["v"].alias("hi"))
-        frac = F.col("pos") - F.floor("pos")
-        value = F.when((frac == 0) | (F.col("lo") == F.col("hi")), F.col("lo")).otherwise(F.col("lo") + (F.col("hi") - F.col("lo")) * frac)
-        return self._named(got, "prob", value.alias("value"))
+        """Exact, linearly interpolated ``(column, prob, value)``; NaN is no value.
+
+        The range that holds a rank is cut until its ends are equal, first by logarithm and then into
+        equal widths.  A pass reads the index and moves sums by range; the driver gets one row per column, quantile and end."""
+        x = self._of(cols).filter(F.col("v").isNotNull() & ~F.isnan("v")).select("c", "v", "n")
+        size = F.signum("v") * F.log2(F.abs("v") + 1)
+        first = _sums(x.groupBy("c", F.floor(size * CUTS_PER_DOUBLING).alias("b")), "c").withColumn("total", F.sum("m").over(Window.partitionBy("c")))
+        first = first.withColumn("prob", F.explode(F.array(*[F.lit(float(q)) for q in probs]))).withColumn("pos", F.col("prob") * (F.col("total") - 1))
+        first = first.withColumn("rank", F.explode(F.array(F.floor("pos"), F.ceil("pos")))).withColumn("start", F.lit(0))
+        found, at, value = _holding(first).select("c", "prob", "pos", "rank", "lo", "hi", "start").distinct().collect(), {}, {}
+        for f in found:
+            at[f["c"], f["prob"]] = f["pos"]
+        while found:
+            ranges, open_ = {}, set()  # the number of a range still to be cut; the ranks in it
+            for f in found:
+                if f["lo"] == f["hi"]:
+                    value[f["c"], f["rank"]] = f["lo"]
+                else:
+                    open_.add((f["c"], ranges.setdefault((f["c"], f["lo"], f["hi"]), len(ranges)), f["rank"], f["start"]))
+            found = self._cut(x, ranges, open_) if open_ else []
+        got = []
+        for (c, q), pos in at.items():
+            lo, hi, frac = value[c, math.floor(pos)], value[c, math.ceil(pos)], pos - math.floor(pos)
+            got.append((self.columns[c], q, lo if frac == 0 or lo == hi else lo + (hi - lo) * frac))
+        return self.df.sparkSession.createDataFrame(got, "column string, prob double, value double")
+
+    def _cut(self, x: DataFrame, ranges: dict, ranks: set) -> list:
+        """The narrower range of values that holds each rank of ``(c, r, rank, start)``, ``start`` being the ranks before range ``r``."""
+        spark = self.df.sparkSession
+        held = F.broadcast(spark.createDataFrame([(*k, r) for k, r in ranges.items()], "c int, lo double, hi double, r int"))
+        y = x.join(held, "c").filter((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
+        cut = F.least(F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * CUTS), F.lit(CUTS - 1))
+        # The last value stands alone, so that every pass divides a range.
+        sums = _sums(y.groupBy("c", "r", F.when(F.col("v") == F.col("hi"), F.lit(CUTS)).otherwise(cut).alias("b")), "c", "r")
+        want = F.broadcast(spark.createDataFrame(sorted(ranks), "c int, r int, rank long, start long"))
+        return _holding(sums.join(want, ["c", "r"])).select("c", "rank", "lo", "hi", "start").collect()
 
     def iqr_outliers(self, cols: Sequence[str] | None = None, whisker: float = 1.5) -> DataFrame:
         """``(column, q1, q3, lower, upper, outliers)``, values outside the quartiles' fences."""
@@ -152,18 +176,41 @@ def _missing() -> Column:
     return F.col("v").isNull() & F.col("s").isNull()
 
 
+def _sums(ranges, *of: str) -> DataFrame:
+    """Per range its rows ``m``, its least and largest value, and the rows ``upto`` its end."""
+    upto = F.sum("m").over(Window.partitionBy(*of).orderBy("b").rowsBetween(Window.unboundedPreceding, 0))
+    return ranges.agg(F.sum("n").alias("m"), F.min("v").alias("lo"), F.max("v").alias("hi")).withColumn("upto", upto)
+
+
+def _holding(ranges: DataFrame) -> DataFrame:
+    """The ranges that hold their ``rank``; ``start`` becomes the ranks before them."""
+    end = F.col("start") + F.col("upto")
+    return ranges.filter((F.col("rank") < end) & (F.col("rank") >= end - F.col("m"))).withColumn("start", end - F.col("m"))
+
+
+def distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``(column, distinct)`` over present values.  One row ``(c, v, s)`` for a value, merged before
+    the one exchange, instead of a row as wide as the table."""
+    items = F.array(*[value_item(i, F.col(f"`{c}`"), df.schema[c].dataType) for i, c in enumerate(cols)])
+    long = df.select(F.explode(items).alias("x")).select("x.*").filter(~_missing())
+    per = long.groupBy("c", "v", "s").agg(F.lit(1)).groupBy("c").agg(F.count(F.lit(1)).alias("distinct"))
+    every = df.sparkSession.createDataFrame(list(enumerate(cols)), "c int, column string")
+    return every.join(per, "c", "left").select("column", F.coalesce("distinct", F.lit(0)).cast("long").alias("distinct"))
+
+
+def value_item(c: int, col: Column, kind: DataType) -> Column:
+    """A value as ``(c, v, s)``: numbers as ``v``, others and what a double may not tell apart as ``s``."""
+    number = isinstance(kind, NumericType)
+    text = not number or isinstance(kind, (LongType, DecimalType))
+    return F.struct(F.lit(c).alias("c"), (col if number else F.lit(None)).cast("double").alias("v"), (col if text else F.lit(None)).cast("string").alias("s"))
+
+
 def build(df: DataFrame) -> ValueIndex:
     """The index of every column of ``df``; reads ``df`` once."""
-    items, numeric = [F.struct(F.lit(ROW).alias("c"), F.lit(None).cast("double").alias("v"), row_digest(df).alias("s"))], []
-    for i, f in enumerate(df.schema.fields):
-        c = F.col(f"`{f.name}`")
-        number = isinstance(f.dataType, NumericType)
-        if number:
-            numeric.append(f.name)
-        text = not number or isinstance(f.dataType, (LongType, DecimalType))  # what a double may not tell apart
-        items.append(F.struct(F.lit(i).alias("c"), c.cast("double").alias("v") if number else F.lit(None).cast("double").alias("v"),
-                              c.cast("string").alias("s") if text else F.lit(None).cast("string").alias("s")))
+    items = [F.struct(F.lit(ROW).alias("c"), F.lit(None).cast("double").alias("v"), row_digest(df).alias("s"))]
+    items += [value_item(i, F.col(f"`{f.name}`"), f.dataType) for i, f in enumerate(df.schema.fields)]
     counts = df.select(F.explode(F.array(*items)).alias("x")).groupBy(F.col("x.c").alias("c"), F.col("x.v").alias("v"), F.col("x.s").alias("s")).agg(
         F.count(F.lit(1)).alias("n"))
-    table = counts.repartitionByRange("c", "v", "s").withColumn("p", F.spark_partition_id())
+    table = counts.filter((F.col("c") != ROW) | (F.col("n") > 1))
+    numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
     return ValueIndex(df, stored(table, "value-index"), df.columns, numeric)
