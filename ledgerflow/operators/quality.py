@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StructType
 
 from ledgerflow.functions.columns import columns_of_type
 from ledgerflow.operators.quantiles import quantiles
@@ -64,10 +65,14 @@ def data_types(df: DataFrame) -> DataFrame:
 def distinct_counts(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
     """Distinct non-null values per column (E16) -> ``(column, distinct)``.
 
-    Exact counts plan as one ``Expand`` over all columns (each row is shipped
-    once per column); ``exact=False`` uses HyperLogLog++ sketches, one pass
+    Exact counts merge one narrow row per value and column (``value_index.distinct_counts``), which
+    holds for numbers, text, booleans, dates and timestamps; ``exact=False`` uses HyperLogLog++ sketches, one pass
     with no row shuffle, for very wide tables."""
+    from ledgerflow.operators.value_index import distinct_counts as exact_counts
+
     cols = list(cols or df.columns)
+    if exact and not any(isinstance(df.schema[c].dataType, (ArrayType, StructType, MapType, BinaryType)) for c in cols):
+        return exact_counts(df, cols)
     f = F.count_distinct if exact else F.approx_count_distinct
     wide = df.agg(*[f(F.col(c)).alias(f"c{i}") for i, c in enumerate(cols)])
     return _stack(wide, [(c, f"c{i}") for i, c in enumerate(cols)], "column", "distinct")
