@@ -50,7 +50,7 @@ def numeric_profile(df: DataFrame, cols: Sequence[str] | None = None,
     Columns in ``money`` (two decimals) get their mean from exact cents.  What has a zero
     denominator (cv at mean 0, skewness of two rows, both of a constant column) is null."""
     cols = list(cols or columns_of_type(df, "numeric"))
-    index = index or build(df.select(*[F.col(f"`{c}`") for c in cols]))
+    index = index or build(df.select(*[F.col(f"`{c}`") for c in cols]), rows=False)
     mom = index.moments(cols, money).withColumnRenamed("count", "n")
     mom = mom.withColumn("cv", F.col("std") / F.nullif("mean", F.lit(0.0)))
     q = index.quantiles(cols, PROFILE_QUANTILES).groupBy("column").agg(*[

@@ -9,8 +9,9 @@ top values, quantiles and outliers then are aggregates over the index, which the
 Quantiles need no order of the index: sums of ``n`` over ranges of values say which range holds a
 rank, and that range alone is cut again until one value is left.
 
-Whole rows are counted the same way, as 128-bit digests under column ``ROW``: only digests that
-occur more than once are written, and only their rows are read again and compared.
+Whole rows are counted the same way if asked for, as 64-bit digests under column ``ROW``: only digests that
+occur more than once are written, and only their rows are read again and compared.  A digest travels in the
+same two numbers as a value, 11 bits in a negative ``c`` and 53 in ``v``, which a double holds.
 """
 
 from __future__ import annotations
@@ -27,16 +28,16 @@ from ledgerflow.functions.money import cents
 from ledgerflow.session import stored
 
 ROW = -1
+#: Bits of a digest that stand in ``c``; the other 53 stand in ``v``.
+LOW_BITS = 11
 #: Ranges into which a doubling of the value and, after that, a range is cut.
 CUTS_PER_DOUBLING = 256
 CUTS = 1 << 14
 
 
 def row_digest(df: DataFrame) -> Column:
-    """128 bits of a row, as 16 bytes in a string.  Equal rows have equal digests; rows of equal digests are compared."""
-    cols = [F.col(f"`{c}`") for c in df.columns]
-    half = [F.lpad(F.hex(F.xxhash64(F.lit(i), *cols)), 16, "0") for i in (1, 2)]
-    return F.unhex(F.concat(*half)).cast("string")
+    """64 bits of a row.  Equal rows have equal digests; rows of equal digests are compared."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
 
 
 @dataclass
@@ -47,6 +48,7 @@ class ValueIndex:
     table: DataFrame
     columns: list[str]
     numeric: list[str]
+    counts_rows: bool = True
 
     def _of(self, cols: Sequence[str]) -> DataFrame:
         return self.table.filter(F.col("c").isin([self.columns.index(c) for c in cols] or [ROW - 1]))
@@ -74,7 +76,9 @@ class ValueIndex:
 
     def duplicates(self) -> DataFrame:
         """One row ``duplicates``, rows minus distinct rows.  Without a digest that occurs twice the rows are not read again."""
-        twice = self.table.filter((F.col("c") == ROW) & (F.col("n") > 1)).select(F.col("s").alias("_digest"))
+        if not self.counts_rows:
+            raise ValueError("the index was built without whole rows")
+        twice = self.table.filter((F.col("c") == ROW) & (F.col("n") > 1)).select(F.col("s").cast("long").alias("_digest"))
         twice = stored(twice, "digests")  # known to be small or not before the rows are moved
         if twice.isEmpty():
             return self.df.sparkSession.createDataFrame([(0,)], "duplicates long")
@@ -205,12 +209,19 @@ def value_item(c: int, col: Column, kind: DataType) -> Column:
     return F.struct(F.lit(c).alias("c"), (col if number else F.lit(None)).cast("double").alias("v"), (col if text else F.lit(None)).cast("string").alias("s"))
 
 
-def build(df: DataFrame) -> ValueIndex:
-    """The index of every column of ``df``; reads ``df`` once."""
-    items = [F.struct(F.lit(ROW).alias("c"), F.lit(None).cast("double").alias("v"), row_digest(df).alias("s"))]
-    items += [value_item(i, F.col(f"`{f.name}`"), f.dataType) for i, f in enumerate(df.schema.fields)]
-    counts = df.select(F.explode(F.array(*items)).alias("x")).groupBy(F.col("x.c").alias("c"), F.col("x.v").alias("v"), F.col("x.s").alias("s")).agg(
+def build(df: DataFrame, rows: bool = True) -> ValueIndex:
+    """The index of every column of ``df`` and, if ``rows``, of its whole rows; reads ``df`` once."""
+    items = [value_item(i, F.col(f"`{f.name}`"), f.dataType) for i, f in enumerate(df.schema.fields)]
+    x = df
+    if rows:  # a row's digest takes no text, so that it moves as narrow as a number
+        x = df.withColumn("_digest", row_digest(df))
+        low = F.col("_digest").bitwiseAND(F.lit((1 << LOW_BITS) - 1)).cast("int")
+        items.insert(0, F.struct((F.lit(ROW) - low).alias("c"), F.shiftright("_digest", LOW_BITS).cast("double").alias("v"), F.lit(None).cast("string").alias("s")))
+    counts = x.select(F.explode(F.array(*items)).alias("x")).groupBy(F.col("x.c").alias("c"), F.col("x.v").alias("v"), F.col("x.s").alias("s")).agg(
         F.count(F.lit(1)).alias("n"))
-    table = counts.filter((F.col("c") != ROW) | (F.col("n") > 1))
+    of_row = F.col("c") <= ROW
+    digest = F.shiftleft(F.col("v").cast("long"), LOW_BITS).bitwiseOR((F.lit(ROW) - F.col("c")).cast("long"))
+    table = counts.filter(~of_row | (F.col("n") > 1)).select(
+        F.greatest("c", F.lit(ROW)).alias("c"), F.when(~of_row, F.col("v")).alias("v"), F.when(of_row, digest.cast("string")).otherwise(F.col("s")).alias("s"), "n")
     numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
-    return ValueIndex(df, stored(table, "value-index"), df.columns, numeric)
+    return ValueIndex(df, stored(table, "value-index"), df.columns, numeric, rows)

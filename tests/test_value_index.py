@@ -55,3 +55,25 @@ def test_distinct_counts_without_a_row_as_wide_as_the_table(spark):
     assert {r["column"]: r["distinct"] for r in got.collect()} == {"i": 2, "d": 3, "s": 3, "l": 3, "b": 2}
     assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
     assert {r["distinct"] for r in Q.distinct_counts(df.limit(0)).collect()} == {0}
+
+
+def test_a_numeric_profile_counts_no_whole_rows(spark, monkeypatch):
+    from ledgerflow.operators import profile as P
+
+    seen, df = [], spark.createDataFrame([(i % 50, float(i % 50)) for i in range(200)], "a int, b double")
+    monkeypatch.setattr(P, "build", lambda *a, **k: seen.append(V.build(*a, **k)) or seen[-1])
+    got = {r["column"]: r for r in P.numeric_profile(df, ["a", "b"]).collect()}
+    assert (got["a"]["n"], got["b"]["distinct"], got["b"]["p50"]) == (200, 50, 24.5)
+    assert seen[0].table.filter("c = -1").count() == 0  # every row occurs four times
+    with pytest.raises(ValueError):
+        seen[0].duplicates()
+
+
+def test_digests_are_as_narrow_as_numbers_and_equal_ones_are_compared(spark):
+    rows = [(1, None, "x"), (None, 1, "x"), (1, None, "x"), (None, None, None), (None, None, None), (2, 3, "y")]  # the first two share a digest
+    df = spark.createDataFrame(rows, "a int, b int, c string")
+    assert df.select(V.row_digest(df)).dtypes[0][1] == "bigint"
+    index = V.build(df)
+    assert {int(r["s"]) for r in index.table.filter("c = -1").collect()} <= {r[0] for r in df.select(V.row_digest(df)).collect()}
+    assert index.duplicates().first()["duplicates"] == 2
+    assert index.table.filter("c = -1 AND v IS NOT NULL").count() == 0
