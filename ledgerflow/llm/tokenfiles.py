@@ -45,6 +45,7 @@ from __future__ import annotations
 import functools
 import json
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -152,10 +153,13 @@ class IdEncoder:
             self.added = [t["content"] for t in description.get("added_tokens", [])]
             self.lower = '"Lowercase"' in json.dumps(description["normalizer"])
             pre = description["pre_tokenizer"]
-            self.pattern = regex.compile(pre.get("pretokenizers", [pre])[0]["pattern"]["Regex"])
+            pattern = pre.get("pretokenizers", [pre])[0]["pattern"]["Regex"]
+            self.pattern = regex.compile(pattern)
+            # Letters match as a whole if nothing but endings after an apostrophe comes before them.
+            self.letters_whole = re.match(r"(?:'\w+\|)*(?:\[\\p\{L\}\]|\\p\{L\})\+(?:\||$)", pattern) is not None
             # Characters whose case, category and composition no Unicode version has changed.
-            self.plain = regex.compile(r"[\t-\r\x20-\x7e\xa1-\u012f\u0131-\u017f]*")
-            self.break_ = regex.compile(r"[\t-\r\x20]")
+            self.plain = re.compile(r"[\t-\r\x20-\x7e\xa1-\u012f\u0131-\u017f]*")
+            self.break_ = re.compile(r"[\t-\r\x20]")
             self.normaliser, self.cutter, self.model = self.lib.normalizer, self.lib.pre_tokenizer, self.lib.model
             byte_level = [p for p in pre.get("pretokenizers", [pre]) if p["type"] == "ByteLevel"]
             shown = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
@@ -171,8 +175,10 @@ class IdEncoder:
         return self._bytes([t.id for t in self.model.tokenize(cut)])
 
     def _plain_word(self, word: str) -> bytes:
-        cut = self.pattern.findall(word.lower() if self.lower else word)
-        return self.piece_ids[cut[0]] if len(cut) == 1 else b"".join(map(self.piece_ids.__getitem__, cut))
+        low = word.lower() if self.lower else word
+        if self.letters_whole and low.isalpha():  # remembered once, as the word it is
+            return self._piece(low) if low == word else self.plain_ids[low]
+        return b"".join([self.plain_ids[p] if self.letters_whole and p.isalpha() else self.piece_ids[p] for p in self.pattern.findall(low)])
 
     def _word(self, word: str) -> bytes:
         text = self.normaliser.normalize_str(word) if self.normaliser else word

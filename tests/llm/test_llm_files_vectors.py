@@ -316,3 +316,14 @@ def test_languages_by_brute_force_and_reruns_agree(spark):
         size = math.sqrt(sum(x * x for x in v.values()))
         cos = [sum(x * c[g] for g, x in v.items()) / size for c in model.centroids]
         assert got[r.doc_id].lang_pred == model.languages[int(np.argmax(cos))] and abs(got[r.doc_id].score - min(1, max(0, max(cos)))) < 1e-9
+
+
+def test_words_of_letters_are_not_cut_and_kept_once():
+    enc = tokenfiles.IdEncoder(tokenfiles.default_tokenizer())
+    cut, pattern = [], enc.pattern
+    enc.pattern = type("Counted", (), {"findall": lambda self, s: cut.append(s) or pattern.findall(s)})()
+    text = "Hello world, it's naïve L'ÉTÉ x² ſtill rock'n'roll hello 12th don''s _a_"
+    want = enc.lib.encode(text.replace("²", ""), add_special_tokens=False).ids
+    assert np.frombuffer(enc.encode(text.replace("²", "")), enc.kind).tolist() == want
+    assert "hello" not in cut and "naïve" not in cut and "world," in cut and "it's" in cut
+    assert "hello" in enc.plain_ids and "world" in enc.plain_ids and not {"hello", "world"} & set(enc.piece_ids)
