@@ -180,7 +180,7 @@ def m3_isolation_forest_card(spark, sf_dir):
 def l1_feature_importance(spark, sf_dir):
     """L1: random-forest importances of every numeric feature for the label
     (label itself excluded), window features included."""
-    f = fraud_features(spark, sf_dir)
+    f = stored(fraud_features(spark, sf_dir), "fraud-features")  # the model reads its input several times
     return feature_importance(f, "isFraud", feature_columns(f, ["isFraud", "TransactionID"]))
 
 

@@ -126,3 +126,15 @@ def test_isolation_forest_reads_the_selected_features(spark, monkeypatch):
     top = [c for c in catalog.QUERIES["l2_top_features"](spark, sf).columns if c not in ("sample_datetime", "isFraud")]
     assert sorted(seen[0]) == sorted(f"{c}_z" for c in top) and len(top) == 17  # fewer than the 20 asked for
     assert out.count() == 1000 and 20 <= out.where("anomaly_score = 1").count() <= 50
+
+
+def test_importances_read_a_stored_model_input(spark, monkeypatch):
+    from ledgerflow.plans import catalog, model_queries
+
+    seen = []
+    monkeypatch.setattr(model_queries, "feature_importance", lambda df, label, cols: seen.append((df, cols)) or df)
+    catalog.QUERIES["l1_feature_importance"](spark, "/root/testdata/sf0.001")
+    df, cols = seen[0]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan  # the passes of the model do not make the window features again
+    assert len(cols) == 17 and df.count() == 1000
